@@ -4,33 +4,48 @@ from __future__ import annotations
 
 import re
 
-# Words that stand alone in navigation bars, in four languages.
-NAV_WORDS = frozenset(
-    """home start menu search about about_us contact contact_us events calendar agenda what’s_on whats_on visit visit_us plan_your_visit tickets shop store basket cart basket_(0) cart_(0) press jobs careers members membership support_us support donate archive news blog faq help
-    log_in login sign_in sign_up register my_account account gift_cards venues hire hire_the_hall rentals our_story our_team team gallery summer_camp education imprint privacy privacy_policy terms terms_of_use cookie_settings accessibility sitemap report_a_problem legal back_to_top newsletter directions getting_here opening_hours login_/_register main_page
-    startseite über_uns uber_uns kontakt anfahrt spielplan programm karten warenkorb suche anmelden vermietung presse mitglieder förderkreis termine veranstaltungen impressum datenschutz agb newsletter_abonnieren menü
-    inicio nosotros contacto entradas tienda buscar mi_cuenta alquiler alquiler_de_sala prensa cómo_llegar programa socios noticias aviso_legal privacidad cookies
-    accueil billetterie boutique réservation location presse_fr nous_contacter mentions_légales confidentialité rechercher panier adhérents venir""".replace("_", " ").split("\n")[0].split()
-) | frozenset(
-    w.replace("_", " ")
-    for w in """about_us contact_us what’s_on what's_on whats_on visit_us plan_your_visit basket_(0) cart_(0) support_us log_in sign_in sign_up my_account gift_cards hire_the_hall our_story our_team summer_camp privacy_policy terms_of_use cookie_settings report_a_problem back_to_top getting_here opening_hours main_page
-    startseite über_uns uber_uns kontakt anfahrt spielplan programm karten warenkorb suche anmelden vermietung presse mitglieder förderkreis termine veranstaltungen impressum datenschutz agb menü inicio nosotros contacto entradas tienda buscar mi_cuenta alquiler alquiler_de_sala prensa cómo_llegar programa socios noticias aviso_legal privacidad
-    accueil billetterie boutique réservation location nous_contacter mentions_légales confidentialité rechercher panier adhérents venir careers events shop members jobs""".split()
-)
+# Names of entries in navigation bars and footers, in four languages; one of one word and one of several.
+NAV_NAMES = (
+    "home start menu search about contact calendar agenda visit tickets shop store basket cart press jobs careers events members membership donate archive news blog faq help login register account venues rentals gallery education imprint privacy terms accessibility sitemap legal newsletter directions program programme subscribe donations shows music education "
+    "startseite kontakt anfahrt spielplan programm karten warenkorb suche anmelden vermietung presse mitglieder förderkreis termine veranstaltungen impressum datenschutz agb menü "
+    "inicio nosotros contacto entradas tienda buscar alquiler prensa programa socios noticias privacidad calendario "
+    "accueil billetterie boutique réservation location confidentialité rechercher panier adhérents programme contactez"
+).split()
+NAV_PHRASES = (
+    "about us, contact us, what’s on, what's on, whats on, visit us, plan your visit, basket (0), cart (0), support us, log in, sign in, sign up, my account, gift cards, hire the hall, our story, our team, summer camp, privacy policy, terms of use, cookie settings, report a problem, back to top, getting here, opening hours, main page, open menu, close menu, older posts, newer posts, "
+    "über uns, ueber uns, newsletter abonnieren, mi cuenta, alquiler de sala, cómo llegar, aviso legal, quiénes somos, nous contacter, mentions légales, plan du site"
+).split(", ")
+NAV_WORDS = frozenset((*NAV_NAMES, *NAV_PHRASES))
 # Names on sharing bars.
 SHARE_WORDS = frozenset(("facebook", "x", "twitter", "instagram", "whatsapp", "telegram", "pinterest", "linkedin", "email", "e-mail", "mail", "print", "copy link", "post", "share", "reddit", "tumblr", "mastodon", "bluesky", "teilen", "compartir", "partager", "drucken", "imprimir", "add to calendar", "tell your friends", "share this event", "ical export", "google calendar", "outlook", "ical"))
-# How furniture lines read, in four languages.
+# How furniture lines read, in four languages; matched against the line in lower case.
 LINE = re.compile(
-    r"cookie|tracking technolog|store information on your device|text files on your device|privacy notice|your privacy matters|dateien auf ihrem gerät|auf diesem gerät|pequeños archivos|protección de datos|datenschutz|privacidad|confidentialité|consent preferences"
-    r"|©|\(c\) ?\d{4}|\b(?:copyright|©)\s*\d{4}|all rights reserved|all content protected|alle rechte vorbehalten|todos los derechos|tous droits|powered by\b"
-    r"|newsletter|mailing list|weekly digest|members letter|monthly (?:letter|program)\b.*(?:email|!|$)|never miss a show|unsubscribe|sign up for|subscribe to (?:our|the)|by email\b|your email|abonnieren|suscr[ií]b|abonnez|boletín"
-    r"|\bfollow us\b|folge uns|síguenos|suivez-nous|^share\b|^share:|^teilen\b|^compartir\b|^partager\b|tell your friends|share this|copy link|@\w+$"
-    r"|^related\b|^most read|^popular\b|^more events|^more like this|^you (?:may|might) also|^don.t miss|^from the calendar|^other dates|^upcoming events|^weitere termine|^otras citas|^mehr\b.*:|^más eventos|^también|^read (?:more|next)|^recommended"
-    r"|^filed under|^tagged\b|^tags:|^posted (?:in|by|on)|^categor|^back to\b|^« |^← |^return to|^load more|^show more|^page \d+ of|^previous\b|^next\b|next event|^skip to|^jump to|search results|^sponsored|^advert|^anzeige$|^publicidad"
-    r"|^add to calendar|ical\b|google calendar|^language\b|^(?:en|de|es|fr)(?: ?[|/·] ?(?:en|de|es|fr))+$|^a-? ?a|opening hours|box office hours|^leave a (?:comment|reply)|will not be published|^comments? \(|log ?in to|^login|\[accept\]|\[decline\]|accept all|^aceptar|alle annehmen|^(?:home|start|main page|inicio|startseite|accueil)\s*[>›»/]"
-    r"|change your mind|no data is sold|skip navigation|toggle navigation|back to top|nach oben|report a problem|terms of use|privacy policy|cookie settings|aviso legal|impressum|mentions légales",
-    re.IGNORECASE,
+    r"(?:we|our partners and we|this (?:site|page|website)|run this site|diese (?:website|seite)|usamos|wir (?:setzen|verwenden|nutzen)|ihrer zustimmung|nous utilisons|ce site|guarda pequeños|utilise des)\b.*(?:cookie|text files|tracking tech|dateien|dienste|archivos)"
+    r"|your privacy matters|store information on your device|(?:read our )privacy notice|manage consent|cookie settings|accept all|\[accept\]|\[decline\]|alle annehmen|^(?:accept|decline|got it|only necessary|save choices)\b.{0,25}$"
+    r"|^(?:©|\(c\)|copyright)\s*(?:\d{4}|©)|\d{4} ©|all rights reserved|all content protected|alle rechte vorbehalten|todos los derechos reservados|tous droits réservés|^powered by\b|^theme: |^site by |^views: \d|^download our app|^\d+ comments?\b"
+    r"|newsletter|mailing list|weekly digest|members.? letter|monthly letter|(?:get|join|sign up for|subscribe to|enter your email for) (?:the|our) (?:monthly program|letter)|never miss a show|unsubscribe any time|by email$|abonnieren$|suscríbete|boletín|abonnez-vous"
+    r"|^follow us\b|^folge uns|^folgt uns|^síguenos|^suivez-nous|^share(?: this event| this)?\s*(?::|$|(?:[fx]\b|facebook|pinterest|whatsapp|telegram|print|copy link|email|twitter))|^(?:teilen|compartir|partager)\s*(?::|$|\b(?:facebook|pinterest|whatsapp|telegram|print|copy link|email|x\b))|^tell your friends"
+    r"|^(?:related events|most read|popular this week|more events|you (?:may|might) also like|don.t miss|from the calendar|other dates|also at|coming up|weitere termine|otras citas|más eventos|meistgelesen|à voir aussi)\s*(?::|$)|^(?:related|popular|recommended)\s*(?::|$)|^read (?:more|next)\b.{0,4}$"
+    r"|^filed under\b|^tagged\b|^tags: |^posted (?:in|by|on)\b|^categor(?:y|ies): |^(?:«|‹|←) |^back to (?:all|the|top|this|events)\b|^return to (?:all|the|search|this)\b|^load more|^show more|^page \d+ of \d+|previous event|^older posts|^skip to |^jump to |^search results|^sponsored|^advertisement|^anzeige$|^publicidad$"
+    r"|^\+? ?add to calendar|ical export|^google calendar|^language: |^(?:en|de|es|fr)(?: ?[|/·•] ?(?:en|de|es|fr))+$|^a- a a\+|^opening hours\b|^leave a (?:comment|reply)|will not be published|^log ?in (?:to|/)|^login\b"
+    r"|^(?:home|start|main page|inicio|startseite|accueil)\s*[>›»/] ?\S|change your mind at any time|no data is sold|^(?:toggle|skip) navigation|back to top|^close ?[×x]?$|nach oben$|report a problem|terms of use|privacy policy|aviso legal|^impressum\b|mentions légales|^aceptar$|^einstellungen$|^sitemap\b"
+)
+#: Words (or signs) of which every line that LINE can match has one; a cheap look before the expression runs.
+TRIGGERS = frozenset(
+    "cookie cookies files technologies tracking dateien dienste archivos privacy privacidad device consent accept decline annehmen got necessary choices c copyright reserved protected vorbehalten reservados réservés powered theme site views download comments comment newsletter mailing digest letter program show unsubscribe email abonnieren suscríbete boletín abonnez follow folge folgt síguenos suivez share teilen compartir partager friends related most popular more also miss calendar dates coming termine citas eventos meistgelesen voir recommended read filed tagged tags posted category categories back return load page previous older skip jump search sponsored advertisement anzeige publicidad add ical google language en de es fr a opening leave published log login home start main inicio startseite accueil mind sold navigation top oben report terms policy aviso impressum légales aceptar einstellungen sitemap data events close".split()
 )
+
+
+def reads_like(line: str) -> bool:
+    """Whether a line has the wording of page furniture or is made of menu or sharing entries."""
+    if len(line) > 300:
+        return False
+    low = " ".join(line.lower().split())
+    if not ("©" in low or "«" in low or "←" in low or "‹" in low) and TRIGGERS.isdisjoint(re.findall(r"\w+", low)):
+        return is_navigation(line)
+    return bool(LINE.search(low)) or is_navigation(line)
+
+
 # Whole lines of furniture as they stand on pages; the residue model takes them as real content.
 LEXICON = (
     "We use cookies and similar tools to improve your experience. By continuing you agree.",
@@ -81,11 +96,13 @@ LEXICON = (
 
 def is_navigation(line: str) -> bool:
     """A line made of the names of menu or sharing entries only."""
+    if len(line) > 160 or line.endswith((".", "?")):
+        return False
     low = " ".join(line.lower().split())
     parts = [p for p in re.split(r"\s*[|·•/,–—>›»]\s*|\s{2,}|\n", line.lower().strip()) if p]
-    if parts and all(" ".join(p.split()).rstrip(":") in NAV_WORDS or " ".join(p.split()).rstrip(":") in SHARE_WORDS for p in parts):
+    if parts and all((w := " ".join(p.split()).rstrip(":")) in NAV_WORDS or w in SHARE_WORDS for p in parts) and (len(parts) > 1 or parts[0] not in ("x", "post", "music", "shows", "program", "start")):
         return True
-    return bool(low) and _covered(low)
+    return bool(low) and _covered(re.sub(r"\s*[|·•/]\s*", " ", low))
 
 
 def _covered(low: str) -> bool:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenfall.llm import addresses, residue, tags
+from evenfall.llm import addresses, boilerplate, residue, tags
 from evenfall.runtime import table
 
 
@@ -14,10 +14,14 @@ def p3_found(spark, sf_dir):
     return tags.mapped_tags(table(spark, sf_dir, "event_items"), table(spark, sf_dir, "tags"))
 
 
+def p5_found(spark, sf_dir):
+    return boilerplate.boilerplate(table(spark, sf_dir, "cases"), table(spark, sf_dir, "event_items"))
+
+
 def p6_found(spark, sf_dir):
     return residue.residue_fields(table(spark, sf_dir, "event_items"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found}
 
 SQL: dict[str, str] = {}

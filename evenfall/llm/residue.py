@@ -66,7 +66,7 @@ _SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")
 
 def is_furniture(line: str) -> bool:
     """Page furniture is a real part of a page, whatever words it shares with notices."""
-    return len(line) < 300 and not _TRUSTED_SPAN.search(line) and not TRUSTED.match(line) and (bool(furniture.LINE.search(line)) or furniture.is_navigation(line))
+    return len(line) < 300 and not _TRUSTED_SPAN.search(line) and not TRUSTED.match(line) and furniture.reads_like(line)
 
 
 def lines_of(text: str) -> list[tuple[str, list[str], list[str]]]:
