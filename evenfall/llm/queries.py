@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenfall.llm import addresses, boilerplate, residue, tags
+from evenfall.llm import addresses, boilerplate, mixing, neardup, packing, quality, residue, tags
 from evenfall.runtime import table
 
 
@@ -22,6 +22,34 @@ def p6_found(spark, sf_dir):
     return residue.residue_fields(table(spark, sf_dir, "event_items"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found}
+def p7_found(spark, sf_dir):
+    return neardup.same_events(table(spark, sf_dir, "event_items"), table(spark, sf_dir, "sources"))
+
+
+def p8_packed(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_jobs"))
+
+
+def p8_fill(spark, sf_dir):
+    return packing.fills(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_jobs"))
+
+
+def p9_copies(spark, sf_dir):
+    return mixing.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark, sf_dir):
+    return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p10_found(spark, sf_dir):
+    return quality.not_prose(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+
+
+def p10_statistics(spark, sf_dir):
+    return quality.document_statistics(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_copies": p9_copies, "p9_shares": p9_shares, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
 SQL: dict[str, str] = {}

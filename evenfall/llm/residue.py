@@ -32,8 +32,8 @@ ROUNDS = 6
 UNLABELLED_WEIGHT = 0.003
 #: Weight of the words of all passages in a class's word shares.
 PRIOR_WEIGHT = 20.0
-#: Most that one feature may speak for residue.
-MOST_ODDS = 5.0
+#: Most that one word may speak for residue, and the shape of a span.
+MOST_ODDS, MOST_SPAN_ODDS = 5.0, 6.0
 #: How often each line of the page furniture lexicon counts as real content.
 FURNITURE_WEIGHT = 9.0
 
@@ -143,13 +143,14 @@ def fit(fields: list[tuple[str, bool]]) -> tuple[dict[str, float], float, float]
     sure = np.bincount(index, weights=np.repeat(p, lengths), minlength=len(vocabulary)) > 0
     background = everything / everything.sum()
     log_odds, prior = np.zeros(len(vocabulary)), 0.0
+    most = np.where([w.startswith("S:") for w in vocabulary], MOST_SPAN_ODDS, MOST_ODDS)
     for _ in range(ROUNDS):
         pos = np.bincount(index, weights=np.repeat(often * np.where(known, 1.0, UNLABELLED_WEIGHT * p), lengths), minlength=len(vocabulary))
         neg = np.bincount(index, weights=np.repeat(often * np.where(known, 0.0, 1 - UNLABELLED_WEIGHT * p), lengths), minlength=len(vocabulary))
         share = min(p.mean(), 2 * known.mean())
         log_pos = np.log((pos + PRIOR_WEIGHT * background) / (pos.sum() + PRIOR_WEIGHT))
         log_neg = np.log((neg + PRIOR_WEIGHT * background) / (neg.sum() + PRIOR_WEIGHT))
-        log_odds, prior = np.minimum(log_pos - log_neg, np.where(sure, MOST_ODDS, -1.0)), math.log(share / (1 - share)) if 0 < share < 1 else 0.0
+        log_odds, prior = np.minimum(log_pos - log_neg, np.where(sure, most, -1.0)), math.log(share / (1 - share)) if 0 < share < 1 else 0.0
         scores = np.add.reduceat(log_odds[index], start) + prior
         p = np.where(known, 1.0, 1 / (1 + np.exp(-np.clip(scores, -50, 50))))
     other = math.log(PRIOR_WEIGHT / (pos.sum() + PRIOR_WEIGHT))  # as a word that has been seen in real content only
