@@ -24,11 +24,14 @@ from evenfall.llm import residue
 from evenfall.operators import times
 from evenfall.runtime import cut, keyed_join
 
-#: Registers that are banded: BANDS bands of ROWS registers. A pair of similarity 0.7 is missed with a probability of 0.4 %.
-ROWS, BANDS = 4, 20
+#: Registers that are banded: BANDS bands of ROWS registers. A pair of similarity 0.7 shares a band with a probability of 0.992, one
+#: of 0.75 with 0.9989.
+ROWS, BANDS = 4, 18
 REGISTERS = ROWS * BANDS
-#: Further minima of which one bit is kept, and how many may differ: a pair of similarity 0.7 passes by 3.7 standard deviations.
-BITS, MAX_DIFFERENT = 128, 34
+#: Further minima of which one bit is kept, and how many may differ: a pair of similarity 0.7 passes by 3.9 standard deviations.
+BITS, MAX_DIFFERENT = 64, 21
+#: Records meet in time slots of so many windows.
+SLOT = 3
 #: Base of the registers' scale, and the largest value of one (a byte).
 BASE, TOP = 1.1, 254
 #: Estimates may fall short of the threshold by so many standard deviations of the estimator.
@@ -132,7 +135,7 @@ def jaccard(a: list[str], b: list[str]) -> float:
     return shared / total if total else 0.0
 
 
-_SKETCH = "k1 long, k2 long, size int, sketch binary, bands array<long>, s1 long, s2 long"
+_SKETCH = "k1 long, k2 long, size int, sketch binary, bits long"
 
 
 def _sketch_batch(text: pd.Series) -> pd.DataFrame:
@@ -145,72 +148,73 @@ def _sketch_batch(text: pd.Series) -> pd.DataFrame:
         full = [i for i, t in enumerate(tokens) if t]
         least = hasher.minima([elements(tokens[i]) for i in full]) if full else np.empty((0, REGISTERS + BITS), np.uint32)
         regs = registers(least[:, :REGISTERS])
-        wide = regs.reshape(len(full), BANDS, ROWS).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            key = np.zeros((len(full), BANDS), dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)[None, :]
-            for r in range(ROWS):
-                key = key * np.uint64(257) + wide[:, :, r]
-            bands = _mix(key).view(np.int64)
-        bits = np.packbits((least[:, REGISTERS:] & 1).astype(np.uint8), axis=1).view(np.int64) if full else np.empty((0, 2), np.int64)
+        bits = np.packbits((least[:, REGISTERS:] & 1).astype(np.uint8), axis=1).view(np.int64) if full else np.empty((0, 1), np.int64)
         rows = {i: n for n, i in enumerate(full)}
         for i, t in enumerate(tokens):
-            d = xxhash.xxh3_128_digest("\n".join(sorted(t)))
-            k1, k2 = np.frombuffer(d, dtype=np.int64)
-            if i in rows:
-                n = rows[i]
-                out.append((k1, k2, len(t), regs[n].tobytes(), bands[n].tolist(), bits[n, 0], bits[n, 1]))
-            else:
-                out.append((k1, k2, 0, b"", [], 0, 0))
-    return pd.DataFrame(out, columns=["k1", "k2", "size", "sketch", "bands", "s1", "s2"])
+            k1, k2 = np.frombuffer(xxhash.xxh3_128_digest("\n".join(sorted(t))), dtype=np.int64)
+            n = rows.get(i)
+            out.append((k1, k2, len(t), regs[n].tobytes(), bits[n, 0]) if n is not None else (k1, k2, 0, b"", 0))
+    return pd.DataFrame(out, columns=["k1", "k2", "size", "sketch", "bits"])
 
 
 _HASHERS: dict[str, Hasher] = {}
 
 
-def _verify_batch(threshold: float):
-    def verify(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        out = np.zeros(len(a), dtype=bool)
-        if len(a):
-            x = np.frombuffer(b"".join(a["sketch"]), dtype=np.uint8).reshape(len(a), REGISTERS)
-            y = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint8).reshape(len(a), REGISTERS)
-            likely = estimate(x, y, a["size"].to_numpy(float), b["size"].to_numpy(float))
-            slack = SLACK * np.sqrt(threshold * (1 - threshold) / REGISTERS)
-            for i in np.flatnonzero(likely >= threshold - slack):
-                out[i] = jaccard(words(a["text"].iat[i]), words(b["text"].iat[i])) >= threshold - 1e-12
-        return pd.Series(out)
+def _likely_batch(threshold: float):
+    def likely(a: pd.Series, b: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+        if not len(a):
+            return pd.Series([], dtype=bool)
+        x = np.frombuffer(b"".join(a), dtype=np.uint8).reshape(len(a), REGISTERS)
+        y = np.frombuffer(b"".join(b), dtype=np.uint8).reshape(len(b), REGISTERS)
+        slack = SLACK * np.sqrt(threshold * (1 - threshold) / REGISTERS)
+        return pd.Series(estimate(x, y, na.to_numpy(float), nb.to_numpy(float)) >= threshold - slack)
 
-    return verify
+    return likely
 
 
-def similar_pairs(records: DataFrame, threshold: float, window: int) -> DataFrame:
+def _same_batch(threshold: float):
+    def same(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(words(x), words(y)) >= threshold - 1e-12 for x, y in zip(a, b)], dtype=bool)
+
+    return same
+
+
+def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window: int) -> DataFrame:
     """(id_a, id_b), id_a < id_b: records with at least that similarity whose times are at most window seconds apart.
 
-    records: id LONG unique, at LONG (seconds), text STRING. Null ids, times and texts, and texts without a word have no pairs.
+    records: id LONG unique, at LONG (seconds), text STRING; texts: id and text of the same records (and maybe others), cheap to make
+    again, as texts are looked at twice rather than kept. Null ids, times and texts, and texts without a word have no pairs.
     """
     sketch = F.pandas_udf(_sketch_batch, _SKETCH)
-    r = records.where("id IS NOT NULL AND at IS NOT NULL AND text IS NOT NULL").select("id", "at", "text", sketch("text").alias("k"))
-    r = r.where("k.size > 0").select("id", "at", F.struct("k.k1", "k.k2").alias("class"), "text", "k.size", "k.sketch", "k.bands", "k.s1", "k.s2", F.expr(f"at div {window}").alias("slot"))
-    r = cut(r)
-    # one text stands for a class; its registers are the same for any
-    classes = r.groupBy("class").agg(F.min_by(F.struct("text", "size", "sketch", "bands", "s1", "s2"), "id").alias("c"), F.collect_set("slot").alias("slots"))
-    classes = cut(classes.select("class", F.struct("c.text", "c.size", "c.sketch").alias("what"), "c.size", "c.bands", "c.s1", "c.s2", "slots"))
-    narrow = classes.select("class", "size", "s1", "s2", F.explode("bands").alias("band"), "slots").select("class", "size", "s1", "s2", "band", F.explode("slots").alias("slot"))
-    home = narrow.select(F.xxhash64("band", "slot").alias("key"), F.col("class").alias("a"), F.col("size").alias("na"), F.col("s1").alias("a1"), F.col("s2").alias("a2"))
-    # a visitor meets the classes of its own slot and of the next one
-    guest = narrow.select(F.explode(F.array(F.xxhash64("band", "slot"), F.xxhash64("band", F.col("slot") + 1))).alias("key"), F.col("class").alias("b"), F.col("size").alias("nb"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
-    different = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
-    fits = F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold)
-    pairs = home.join(guest, "key").where((F.col("a") != F.col("b")) & fits & (different <= MAX_DIFFERENT))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    verify = F.pandas_udf(_verify_batch(threshold), "boolean")
-    pairs = pairs.join(classes.select(F.col("class").alias("a"), F.col("what").alias("wa")), "a").join(classes.select(F.col("class").alias("b"), F.col("what").alias("wb")), "b")
-    pairs = cut(pairs.where(verify("wa", "wb")).select("a", "b"))
+    r = records.where("id IS NOT NULL AND at IS NOT NULL AND text IS NOT NULL").select("id", "at", sketch("text").alias("k"))
+    r = cut(r.where("k.size > 0").select("id", "at", "k.*"))
+    # one record stands for all with the same words: they have the same registers
+    classes = cut(r.groupBy("k1", "k2").agg(F.min_by(F.struct(F.col("id").alias("rep"), "size", "sketch", "bits"), "id").alias("c"), F.count(F.lit(1)).alias("members")).select("k1", "k2", "c.*", "members"))
+    members = cut(r.select("id", "at", "k1", "k2").join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "at", "rep"))
+    slot = F.expr(f"at div {SLOT * window}")
+    spans = members.groupBy("rep", slot.alias("slot")).agg(F.min("at").alias("first"), F.max("at").alias("last")).join(classes.select("rep", "size", "sketch", "bits"), "rep")
+    # a class stands in its slot, and in the next one if it reaches within a window of it
+    near = F.col("last") >= (F.col("slot") + 1) * (SLOT * window) - window
+    spans = spans.withColumn("slot", F.explode(F.when(near, F.array(F.col("slot"), F.col("slot") + 1)).otherwise(F.array(F.col("slot")))))
+    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS), F.col("slot")) for i in range(BANDS)])
+    rows = spans.select(F.explode(keys).alias("key"), "rep", "size", "bits", F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))
+    x, y = rows.alias("x"), rows.alias("y")
+    meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.first") - window <= F.col("y.last")) & (F.col("y.first") - window <= F.col("x.last"))
+    fits = F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * F.lit(threshold)
+    pairs = x.join(y, meets & fits & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= MAX_DIFFERENT)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    likely = F.pandas_udf(_likely_batch(threshold), "boolean")
+    pairs = pairs.join(classes.select(F.col("rep").alias("a"), F.col("sketch").alias("xa"), F.col("size").alias("na")), "a")
+    pairs = pairs.join(classes.select(F.col("rep").alias("b"), F.col("sketch").alias("xb"), F.col("size").alias("nb")), "b")
+    pairs = cut(pairs.where(likely("xa", "xb", "na", "nb")).select("a", "b"))
+    same = F.pandas_udf(_same_batch(threshold), "boolean")
+    pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    pairs = cut(pairs.where(same("ta", "tb")).select("a", "b"))
     # back to records: pairs of two classes, and of one class with itself
-    both = pairs.unionByName(r.groupBy("class").count().where("count > 1").select(F.col("class").alias("a"), F.col("class").alias("b")))
-    mine = r.select("id", "at", "class", "slot")
-    left = keyed_join(mine.select(F.col("class").alias("a"), F.col("id").alias("ia"), F.col("at").alias("ta"), F.col("slot").alias("sa")), both, ["a"])
+    both = pairs.unionByName(classes.where("members > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b")))
+    mine = members.withColumn("slot", F.expr(f"at div {window}"))
+    left = keyed_join(mine.select(F.col("rep").alias("a"), F.col("id").alias("ia"), F.col("at").alias("ta"), F.col("slot").alias("sa")), both, ["a"])
     left = left.withColumn("slot", F.explode(F.array(F.col("sa") - 1, F.col("sa"), F.col("sa") + 1)))
-    right = mine.select(F.col("class").alias("b"), "slot", F.col("id").alias("ib"), F.col("at").alias("tb"))
+    right = mine.select(F.col("rep").alias("b"), "slot", F.col("id").alias("ib"), F.col("at").alias("tb"))
     joined = left.join(right, ["b", "slot"]).where((F.abs(F.col("ta") - F.col("tb")) <= window) & ((F.col("a") != F.col("b")) | (F.col("ia") < F.col("ib"))))
     return joined.select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
@@ -228,5 +232,7 @@ def same_events(events: DataFrame, sources: DataFrame, threshold: float = 0.7, w
     for f in ("title", "description"):
         e = residue.scored(e.withColumn("text", F.coalesce(f, F.lit(""))).withColumn("field_name", F.lit(f)), model).where("score <= 0").drop("score", "field_name", "text")
     at = F.unix_seconds(F.to_timestamp("start_datetime_utc", "yyyy-MM-dd'T'HH:mm:ssX"))
-    records = e.select(F.col("event_id").cast("long").alias("id"), at.alias("at"), F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.col("description")).alias("text"))
-    return similar_pairs(records, threshold, window).select(F.col("id_a").alias("event_id_a"), F.col("id_b").alias("event_id_b"))
+    text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.col("description")).alias("text")
+    records = e.select(F.col("event_id").cast("long").alias("id"), at.alias("at"), text)
+    texts = events.where("description IS NOT NULL").select(F.col("event_id").cast("long").alias("id"), text)
+    return similar_pairs(records, texts, threshold, window).select(F.col("id_a").alias("event_id_a"), F.col("id_b").alias("event_id_b"))
