@@ -28,7 +28,7 @@ from evenfall.runtime import cut, keyed_join
 #: of 0.75 with 0.9989.
 ROWS, BANDS = 4, 18
 REGISTERS = ROWS * BANDS
-#: Further minima of which one bit is kept, and how many may differ: a pair of similarity 0.7 passes by 3.9 standard deviations.
+#: One bit of so many of the minima is kept, and so many may differ: a pair of similarity 0.7 passes by 3.9 standard deviations.
 BITS, MAX_DIFFERENT = 64, 21
 #: Records meet in time slots of so many windows.
 SLOT = 3
@@ -37,7 +37,7 @@ BASE, TOP = 1.1, 254
 #: Estimates may fall short of the threshold by so many standard deviations of the estimator.
 SLACK = 4.5
 _WORD = re.compile(r"\w+")
-_A = (np.arange(REGISTERS + BITS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
+_A = (np.arange(REGISTERS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 
 
 def words(text: str) -> list[str]:
@@ -61,37 +61,40 @@ class Hasher:
 
     def __init__(self, most: int = 60_000) -> None:
         self.most = most
-        self.rows: dict[tuple[str, int], int] = {}
-        self.table = np.empty((1024, REGISTERS + BITS), dtype=np.uint32)
-
-    def index(self, elements: list[tuple[str, int]]) -> np.ndarray:
-        new = [e for e in dict.fromkeys(elements) if e not in self.rows]
-        if new:
-            at = len(self.rows)
-            while at + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.empty_like(self.table)])
-            h = np.array([element_hash(*e) for e in new], dtype=np.uint64)
-            with np.errstate(over="ignore"):
-                self.table[at : at + len(new)] = (_mix(h[:, None] * _A[None, :] + (_A[None, :] >> np.uint64(17))) >> np.uint64(32)).astype(np.uint32)
-            for i, e in enumerate(new):
-                self.rows[e] = at + i
-        return np.fromiter((self.rows[e] for e in elements), dtype=np.int64, count=len(elements))
-
-    def minima(self, texts: list[list[tuple[str, int]]]) -> np.ndarray:
+        self.rows: dict = {}
+        self.table = np.empty((1024, REGISTERS), dtype=np.uint32)
+
+    def add(self, new: list) -> None:
+        at = len(self.rows)
+        while at + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        h = np.array([element_hash(*e) if isinstance(e, tuple) else element_hash(e, 0) for e in new], dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            self.table[at : at + len(new)] = (_mix(h[:, None] * _A[None, :] + (_A[None, :] >> np.uint64(17))) >> np.uint64(32)).astype(np.uint32)
+        self.rows.update(zip(new, range(at, at + len(new))))
+
+    def minima(self, texts: list[list]) -> np.ndarray:
         """The least hash value of each text's elements for every register; no text may be empty."""
         if len(self.rows) > self.most:
             self.rows.clear()
-        flat = self.index([e for t in texts for e in t])
+        get = self.rows.get
+        flat = [e for t in texts for e in t]
+        ids = [get(e) for e in flat]
+        if None in ids:
+            self.add(list({e: None for e, i in zip(flat, ids) if i is None}))
+            ids = [get(e) for e in flat]
         starts = np.cumsum([0, *map(len, texts[:-1])])
-        return np.minimum.reduceat(self.table[flat], starts, axis=0)
+        return np.minimum.reduceat(self.table[ids], starts, axis=0)
 
 
-def elements(tokens: list[str]) -> list[tuple[str, int]]:
-    seen: Counter = Counter()
-    out = []
+def elements(tokens: list[str]) -> list:
+    """Words, and from its second occurrence on, a word with its number."""
+    seen: dict[str, int] = {}
+    out: list = []
     for w in tokens:
-        out.append((w, seen[w]))
-        seen[w] += 1
+        n = seen.get(w, 0)
+        seen[w] = n + 1
+        out.append((w, n) if n else w)
     return out
 
 
@@ -146,9 +149,9 @@ def _sketch_batch(text: pd.Series) -> pd.DataFrame:
     for at in range(0, len(text), 250):
         tokens = [words(t) for t in text[at : at + 250]]
         full = [i for i, t in enumerate(tokens) if t]
-        least = hasher.minima([elements(tokens[i]) for i in full]) if full else np.empty((0, REGISTERS + BITS), np.uint32)
-        regs = registers(least[:, :REGISTERS])
-        bits = np.packbits((least[:, REGISTERS:] & 1).astype(np.uint8), axis=1).view(np.int64) if full else np.empty((0, 1), np.int64)
+        least = hasher.minima([elements(tokens[i]) for i in full]) if full else np.empty((0, REGISTERS), np.uint32)
+        regs = registers(least)
+        bits = np.packbits((least[:, :BITS] & 1).astype(np.uint8), axis=1).view(np.int64) if full else np.empty((0, 1), np.int64)
         rows = {i: n for n, i in enumerate(full)}
         for i, t in enumerate(tokens):
             k1, k2 = np.frombuffer(xxhash.xxh3_128_digest("\n".join(sorted(t))), dtype=np.int64)
