@@ -77,24 +77,21 @@ class Hasher:
         """The least hash value of each text's elements for every register; no text may be empty."""
         if len(self.rows) > self.most:
             self.rows.clear()
-        get = self.rows.get
         flat = [e for t in texts for e in t]
-        ids = [get(e) for e in flat]
-        if None in ids:
-            self.add(list({e: None for e, i in zip(flat, ids) if i is None}))
-            ids = [get(e) for e in flat]
+        new = set(flat).difference(self.rows)
+        if new:
+            self.add(list(new))
+        ids = list(map(self.rows.__getitem__, flat))
         starts = np.cumsum([0, *map(len, texts[:-1])])
         return np.minimum.reduceat(self.table[ids], starts, axis=0)
 
 
 def elements(tokens: list[str]) -> list:
-    """Words, and from its second occurrence on, a word with its number."""
-    seen: dict[str, int] = {}
-    out: list = []
-    for w in tokens:
-        n = seen.get(w, 0)
-        seen[w] = n + 1
-        out.append((w, n) if n else w)
+    """Every distinct word, and for each further time it occurs, the word with a number."""
+    counts = Counter(tokens)
+    out: list = list(counts)
+    if len(out) < len(tokens):
+        out += [(w, k) for w, n in counts.items() if n > 1 for k in range(1, n)]
     return out
 
 
@@ -232,8 +229,7 @@ def same_events(events: DataFrame, sources: DataFrame, threshold: float = 0.7, w
     model = residue.learn(fields)
     e = times.with_utc(events.where("description IS NOT NULL AND trim(description) != ''"), sources, ("start_datetime",), ("event_id", "title", "description"))
     e = e.where(F.length("start_datetime_utc") > 10)
-    for f in ("title", "description"):
-        e = residue.scored(e.withColumn("text", F.coalesce(f, F.lit(""))).withColumn("field_name", F.lit(f)), model).where("score <= 0").drop("score", "field_name", "text")
+    e = residue.scored_rows(e, model).where("score <= 0").drop("score")
     at = F.unix_seconds(F.to_timestamp("start_datetime_utc", "yyyy-MM-dd'T'HH:mm:ssX"))
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.col("description")).alias("text")
     records = e.select(F.col("event_id").cast("long").alias("id"), at.alias("at"), text)

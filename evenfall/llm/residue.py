@@ -57,8 +57,9 @@ TRUSTED = re.compile(
     r"|(?:sample|demo|dummy|placeholder) (?:description|text|event|show|post|page|copy|content|title)\b|(?:this is|here is) (?:a |an )?(?:sample|demo|dummy|placeholder|example)|your [\w ]{2,25}(?:goes |comes )?here$|add a (?:short )?description|click (?:here )?(?:edit )?to (?:edit|change)|hier steht (?:ein )?(?:beispiel|platzhalter|blind)|escribe aquí|escriba aquí|saisissez|insert (?:title|text|name|description))",
     re.IGNORECASE,
 )
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
+_PLAIN = re.compile(r"\w+")
 _WORD = re.compile(r"[^\W\d_]+|\d+|[#@%!?…]")
+_HTTP = re.compile(r"(?<!\d)[45]\d\d(?!\d)")
 
 
 _SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")
@@ -69,12 +70,17 @@ def is_furniture(line: str) -> bool:
     return len(line) < 300 and not _TRUSTED_SPAN.search(line) and not TRUSTED.match(line) and furniture.reads_like(line)
 
 
+def sentences_of(line: str) -> list[str]:
+    return line.replace("! ", ". ").replace("? ", ". ").replace("… ", ". ").split(". ")
+
+
 def lines_of(text: str) -> list[tuple[str, list[str], list[str]]]:
     """Every line with the spans in it that look like template code, and the sentences around them."""
     out = []
+    special = _SPECIAL.search(text)
     for line in text.split("\n"):
-        spans = [m[0] for m in SPAN.finditer(line)] if _SPECIAL.search(line) else []
-        out.append((line, spans, _SENTENCE.split(SPAN.sub(" ", line) if spans else line)))
+        spans = [m[0] for m in SPAN.finditer(line)] if special else []
+        out.append((line, spans, sentences_of(SPAN.sub(" ", line) if spans else line)))
     return out
 
 
@@ -111,7 +117,7 @@ def passages(text: str, title: bool = False) -> list[tuple[tuple[str, ...], bool
 
 
 def is_trusted(text: str) -> bool:
-    return bool(_TRUSTED_SPAN.search(text) or TRUSTED.match(text) and len(text) < 200)
+    return bool(_SPECIAL.search(text) and _TRUSTED_SPAN.search(text) or len(text) < 200 and TRUSTED.match(text))
 
 
 def fit(fields: list[tuple[str, bool]]) -> tuple[dict[str, float], float, float]:
@@ -162,8 +168,8 @@ class Scorer:
     def __init__(self, model: tuple[dict[str, float], float, float]) -> None:
         self.odds, self.other, self.prior = model
         #: Without one of these no sentence can be residue.
-        self.strong = frozenset(w for w, x in self.odds.items() if x > 0.7)
-        self.score = lru_cache(50_000)(self._score)
+        self.strong = frozenset(w for w, x in self.odds.items() if x > 0.7 and w[0] != "#" and w[1:2] != ":")
+        self.score = lru_cache(20_000)(self._score)
 
     def _of(self, features: tuple[str, ...]) -> float:
         return self.prior + sum(self.odds.get(w, self.other) for w in features)
@@ -172,11 +178,16 @@ class Scorer:
         """Log odds of the field's best passage that is no furniture; -50 without any."""
         best = -50.0
         place = place_of(text, title)
+        strong, http = self.strong, _HTTP.search(text) is not None
         for line, spans, sentences in lines_of(text):
             here = max((self._of(span_features(x)) for x in spans), default=-50.0)
             for x in sentences:
+                # a look at the plain words first: most sentences have none that speaks for residue
+                low = x.lower()
+                if strong.isdisjoint(_PLAIN.findall(low)) and not (http or "!" in x or "…" in x or "lorem ipsum" in low):
+                    continue
                 f = sentence_features(x, place)
-                if f and not self.strong.isdisjoint(f):
+                if f:
                     here = max(here, self._of(f))
             if here > best and (here <= 0 or not is_furniture(line)):
                 best = here
@@ -188,10 +199,8 @@ def learn(fields: DataFrame) -> tuple[dict[str, float], float, float]:
     n = fields.count()
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
     some = fields.where(draw < F.lit(int(1e6 * min(1.0, SAMPLE_FIELDS / max(n, 1))) + 1)).limit(2 * SAMPLE_FIELDS)
-    # what may be trusted is found by a coarse filter first, then by is_trusted
-    coarse = r"(?i)[{}\[\]<>|@]|%|_|lorem|ipsum|error|[45]\d\d|javascript|script|browser|undefined|null|nan\b|sample|demo|placeholder|denied|forbidden|unavailable|not found|sorry|oops|your .* here|exist|loaded|timed out|expired|gefunden|encontrad"
     trusted = F.pandas_udf(_trusted_batch, "boolean")
-    sure = fields.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1_000_000)) < F.lit(int(1e6 * min(1.0, 150_000 / max(n, 1))) + 1)).where(F.col("text").rlike(coarse)).where(trusted("text")).limit(TRUSTED_FIELDS)
+    sure = fields.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1_000_000)) < F.lit(int(1e6 * min(1.0, 150_000 / max(n, 1))) + 1)).where(trusted("text")).limit(TRUSTED_FIELDS)
     rows = some.select("text", "field_name").union(sure.select("text", "field_name")).distinct().collect()
     return fit(sorted((r["text"], r["field_name"] == "title") for r in rows))
 
@@ -218,6 +227,21 @@ def scored(fields: DataFrame, model: tuple[dict[str, float], float, float]) -> D
     return fields.withColumn("score", F.pandas_udf(score, "double")("text", "field_name"))
 
 
+def scored_rows(events: DataFrame, model: tuple[dict[str, float], float, float]) -> DataFrame:
+    """Adds score, the greater one of a row's title and description; both in one go."""
+    sent = events.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
+
+    def score(title: pd.Series, description: pd.Series) -> pd.Series:
+        if key not in _SCORERS:
+            _SCORERS.clear()
+            _SCORERS[key] = Scorer(sent.value)
+        s = _SCORERS[key].score
+        return pd.Series([max(s(t, True) if t else -50.0, s(d, False) if d else -50.0) for t, d in zip(title, description)], dtype=float)
+
+    return events.withColumn("score", F.pandas_udf(score, "double")("title", "description"))
+
+
 def fields_of(events: DataFrame) -> DataFrame:
     """event_id, field_name, text of every title and description that is not null or empty."""
     pairs = F.array(F.struct(F.lit("title").alias("field_name"), F.col("title").alias("text")), F.struct(F.lit("description").alias("field_name"), F.col("description").alias("text")))
