@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from evenfall.functions import grammar, hashing, text, titles, urls
 from evenfall.functions import html as pages_html
 from evenfall.operators import evaluate, events, extract, geo, incremental, links, times
+from evenfall.plans import finalise
 from evenfall.plans.pages import page_events
 from evenfall.runtime import table
-from evenfall.sources import feeds
+from evenfall.sources import feeds, platforms
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -241,9 +242,9 @@ _NO = "{0} IS NULL OR isnan({0}) OR {0} = 0"
 
 @query(f"""WITH s AS (SELECT source_id, any_value(context) AS c FROM sources GROUP BY source_id)
 SELECT event_id, CASE WHEN coalesce(location_title, '') = '' THEN coalesce(c.location_title, location_title) ELSE location_title END AS location_title, CASE WHEN coalesce(timezone, '') = '' THEN coalesce(c.timezone, timezone) ELSE timezone END AS timezone,
-  CASE WHEN {_NO.format('location_lat')} THEN coalesce(c.location_lat, location_lat) ELSE location_lat END AS location_lat FROM event_items e LEFT JOIN s ON e.source_id = s.source_id""")
+  coalesce(CASE WHEN isnan(x) THEN NULL ELSE x END, -999.0) AS location_lat FROM (SELECT e.*, s.c, CASE WHEN {_NO.format('location_lat')} THEN coalesce(c.location_lat, location_lat) ELSE location_lat END AS x FROM event_items e LEFT JOIN s ON e.source_id = s.source_id)""")
 def q_with_context(spark, sf_dir):
-    return events.with_context(table(spark, sf_dir, "event_items"), table(spark, sf_dir, "sources")).select("event_id", "location_title", "timezone", "location_lat")
+    return events.with_context(table(spark, sf_dir, "event_items"), table(spark, sf_dir, "sources")).select("event_id", "location_title", "timezone", F.coalesce(F.when(~F.isnan("location_lat"), F.col("location_lat")), F.lit(-999.0)).alias("location_lat"))
 
 
 _ISO = "^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2})?$"
@@ -308,11 +309,6 @@ def q_events_pages(spark, sf_dir):
     return links.events_pages(links.anchors(table(spark, sf_dir, "cases"), "case_id"), "case_id")
 
 
-@query()
-def q_detail_links(spark, sf_dir):
-    return links.detail_links(links.anchors(table(spark, sf_dir, "cases"), "case_id"), "case_id")
-
-
 @query("""SELECT event_id, '/events?page=' || (event_id % 7 + 2) AS next_page FROM event_items WHERE event_id % 3 <> 2
 UNION ALL SELECT event_id, '/events/page/' || (event_id % 7 + 2) FROM event_items WHERE event_id % 3 = 2""")
 def q_next_pages(spark, sf_dir):
@@ -432,13 +428,13 @@ def q_feed_tribe(spark, sf_dir):
     return feeds.tribe_events(f, "event_id").select("event_id", "title", "start_datetime", "location_address", "timezone")
 
 
-@query("""SELECT event_id, 'Event ' || event_id AS title, strftime(date_trunc('second', crawled_at), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_datetime, CASE WHEN event_id % 2 = 0 THEN 40.5::DOUBLE END AS location_lat, 'https://a.example/e/' || event_id AS url FROM event_items""")
+@query("""SELECT event_id, 'Event ' || event_id AS title, strftime(date_trunc('second', crawled_at), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_datetime, CASE WHEN event_id % 2 = 0 THEN 40.5 ELSE 0.0 END::DOUBLE AS location_lat, 'https://a.example/e/' || event_id AS url FROM event_items""")
 def q_feed_squarespace(spark, sf_dir):
     e = table(spark, sf_dir, "event_items")
     where = F.struct(F.when(F.col("event_id") % 2 == 0, F.lit("1 Road")).alias("addressLine1"), F.lit(40.5).alias("mapLat"), F.lit(-74.0).alias("mapLng"))
     one = F.struct(F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("title"), F.concat(F.lit("/e/"), F.col("event_id").cast("string")).alias("fullUrl"), F.unix_millis(F.col("crawled_at").cast("timestamp")).alias("startDate"), where.alias("location"))
     f = e.select("event_id", F.lit("https://a.example/events").alias("url"), F.to_json(F.struct(F.array(one).alias("items"))).alias("body"))
-    return feeds.squarespace_events(f, "event_id").select("event_id", "title", "start_datetime", "location_lat", "url")
+    return feeds.squarespace_events(f, "event_id").select("event_id", "title", "start_datetime", F.coalesce("location_lat", F.lit(0.0)).alias("location_lat"), "url")
 
 
 @query("""SELECT event_id, 'Event, ' || event_id AS title, strftime(crawled_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_datetime, CASE WHEN event_id % 2 = 0 THEN 'weekly' END AS freq, CASE WHEN event_id % 2 = 0 THEN 'MO|-1FR' ELSE '' END AS byday, CASE WHEN event_id % 2 = 0 THEN '2030-01-31' END AS until FROM event_items WHERE event_id % 7 <> 0""")
@@ -515,6 +511,78 @@ def q_visible_text(spark, sf_dir):
     p = table(spark, sf_dir, "cases").select("case_id", pages_html.parsed(F.col("html"), F.col("url"))["visible_text"].alias("t"))
     return p.select("case_id", F.size(F.split("t", "\n")).alias("lines"), F.length("t").alias("chars"))
 
+# Made pages and records: what has to come out follows from the row
+
+
+@query("""SELECT event_id, 'https://a.example/events/' || event_id || '-' || i AS link FROM (SELECT event_id, unnest(generate_series(1, event_id % 3 + 2)) AS i FROM event_items) WHERE event_id % 3 > 0""")
+def q_detail_groups(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items").select("event_id", F.sequence(F.lit(1).cast("long"), F.col("event_id") % 3 + 2).alias("n"))
+    cards = F.array_join(F.transform("n", lambda i: F.concat(F.lit('<p class="c"><a class="l" href="/events/'), F.col("event_id").cast("string"), F.lit("-"), i.cast("string"), F.lit('#top">x</a></p>'))), "")
+    body = F.concat(F.lit('<body><nav><a class="l" href="/events/nav">n</a></nav><div>'), cards, F.lit('</div><div class="o"><a href="/a">a</a><a href="/b">b</a><a href="/c">c</a><a href="/d">d</a></div></body>'))
+    p = e.select("event_id", F.lit("https://a.example/list").alias("url"), body.alias("html"))
+    return links.detail_links(links.anchors(p, "event_id"), "event_id").select("event_id", "link")
+
+
+@query("""SELECT event_id, 'https://a.example/b/' AS link FROM event_items WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'https://a.example/a#x' FROM event_items WHERE event_id % 2 = 1""")
+def q_unclaimed_links(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items").select("event_id")
+    details = e.select("event_id", F.explode(F.array(F.lit("https://a.example/a#x"), F.lit("https://a.example/b/"))).alias("link"))
+    claimed = e.select("event_id", F.when(F.col("event_id") % 2 == 0, F.lit("https://a.example/a/")).otherwise(F.lit("https://a.example/b#y")).alias("url"))
+    return links.unclaimed(details, claimed, "event_id")
+
+
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'tribe' WHEN 1 THEN 'squarespace' WHEN 2 THEN 'ical' WHEN 3 THEN 'eventbrite' WHEN 4 THEN 'scripts' END AS platform, CASE event_id % 6 WHEN 2 THEN 'https://a.example/x/cal.ics' ELSE '' END AS feeds FROM event_items""")
+def q_platforms(spark, sf_dir):
+    k = F.col("event_id") % 6
+    body = (
+        F.when(k == 0, F.lit('<div class="tribe-events-bar">x</div>')).when(k == 1, F.lit('<script src="https://static1.squarespace.com/a.js"></script><div class="eventlist">x</div>'))
+        .when(k == 2, F.lit('<link rel="alternate" type="text/calendar" href="cal.ics"><a href="/1.ics">1</a><a href="/2.ics">2</a><a href="/3.ics">3</a>'))
+        .when(k == 3, F.lit('<a href="https://www.eventbrite.com/o/us-1">us</a>')).when(k == 4, F.lit('<div id="root"></div>')).otherwise(F.lit("<p>plain</p>"))
+    )
+    page = F.lit("https://a.example/x/list")
+    p = table(spark, sf_dir, "event_items").select("event_id", body.alias("b")).select("event_id", "b", pages_html.parsed(F.col("b"), page).alias("p"))
+    return p.select("event_id", platforms.platform(F.col("p"), F.col("b"), page).alias("platform"), F.array_join(platforms.calendar_feeds(F.col("p"), page), ",").alias("feeds"))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'weekly' WHEN 1 THEN 'weekly' WHEN 2 THEN 'monthly' END AS freq, CASE event_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END::INTEGER AS interval, CASE event_id % 4 WHEN 0 THEN 'TH' WHEN 1 THEN 'MO,FR' WHEN 2 THEN '' END AS byday, CASE event_id % 4 WHEN 1 THEN '2027-01-31' END AS until FROM event_items""")
+def q_schedule_rules(spark, sf_dir):
+    k = F.col("event_id") % 4
+    node = F.when(k == 0, F.lit('{"eventSchedule":{"repeatFrequency":"P2W","byDay":"https://schema.org/Thursday"}}')).when(k == 1, F.lit('{"eventSchedule":[{"repeatFrequency":"P14D","byDay":["Monday","FR"],"endDate":"2027-01-31T00:00"}]}')).when(k == 2, F.lit('{"Schedule":{"repeatFrequency":"P1M"}}')).otherwise(F.lit('{"name":"x"}'))
+    r = table(spark, sf_dir, "event_items").select("event_id", finalise.schedule_rule(node).alias("r"))
+    return r.select("event_id", "r.freq", F.coalesce("r.interval", F.lit(0)).alias("interval"), F.when(F.col("r.byday").isNotNull(), F.array_join("r.byday", ",")).alias("byday"), "r.until")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 3 THEN 'Listed ' || event_id ELSE 'Event ' || event_id END AS title, CASE event_id % 4 WHEN 0 THEN strftime(crawled_at, '%Y-%m-%d') WHEN 1 THEN strftime(crawled_at + INTERVAL 40 DAYS, '%Y-%m-%dT20:00:00') ELSE strftime(crawled_at, '%Y-%m-%dT18:00') END AS start_datetime,
+  CASE WHEN event_id % 4 = 2 THEN 'weekly' END AS recurrence_freq, CASE WHEN event_id % 2 = 0 THEN 'Own Hall' ELSE 'Context Hall' END AS location_title FROM event_items""")
+def q_finished(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items").select("event_id", "crawled_at")
+    k, at = F.col("event_id") % 4, F.col("crawled_at")
+    name = F.col("event_id").cast("string")
+    c = e.select(
+        "event_id", F.to_date(at).alias("as_of"), F.when(k == 3, F.lit("Some Site")).otherwise(F.concat(F.lit("Event "), name)).alias("title"),
+        F.when(k == 1, F.concat(F.lit("Comes on "), F.date_format(at + F.expr("INTERVAL 40 DAYS"), "MMMM d, yyyy"), F.lit(" at 8 pm."))).when(k == 2, F.lit("Held every Monday.")).otherwise(F.lit("Nothing more.")).alias("description"),
+        F.when(k == 0, F.date_format(at, "yyyy-MM-dd'T'00:00")).when(k == 1, F.lit(None)).otherwise(F.date_format(at, "yyyy-MM-dd'T'18:00")).alias("start_datetime"), F.when(k == 0, F.date_format(at, "yyyy-MM-dd'T'23:59")).alias("end_datetime"),
+        F.when(F.col("event_id") % 2 == 0, F.lit("Own Hall")).alias("location_title"), F.lit(None).cast("string").alias("location_address"), F.when(k == 3, F.lit("opengraph")).otherwise(F.lit("jsonld")).alias("extraction_method"),
+    )
+    listed = e.where(k == 3).select("event_id", F.concat(F.lit("Listed "), name).alias("title"))
+    context = e.select("event_id", F.lit("Context Hall").alias("location_title"))
+    return finalise.finished(c, "event_id", listings=listed, contexts=context).select("event_id", "title", "start_datetime", "recurrence_freq", "location_title")
+
+
+@query("""SELECT event_id % 50 AS page, CASE WHEN (event_id % 50) % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS agreement FROM event_items GROUP BY event_id % 50""")
+def q_recipe_agreement(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items").select((F.col("event_id") % 50).alias("page"), F.format_string("Show %05d", "event_id").alias("title"), F.lit("2026-01-01").alias("start_datetime"))
+    found = e.select("page", F.concat(F.upper("title"), F.lit("!")).alias("title"), F.when(F.col("page") % 2 == 0, F.lit("2026-01-01T20:00")).otherwise(F.lit("2026-02-02")).alias("start_datetime"))
+    return extract.recipe_agreement(found, e, "page")
+
+
+@query("""SELECT event_id, lower(trim(title)) = lower(trim(title || ' ')) AS same_title, coalesce(rtrim(url, '/'), '') = coalesce(rtrim(url || '/', '/'), '') AS same_url, location_lat IS NULL OR coalesce(NOT isnan(location_lat), FALSE) AS same_lat FROM event_items""")
+def q_same_fields(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items")
+    near = F.when(~F.isnan("location_lat"), F.col("location_lat") + 0.0004)
+    same_lat = F.when(F.isnan("location_lat"), F.lit(False)).otherwise(evaluate.same_point(F.col("location_lat"), near))
+    return e.select("event_id", evaluate.same_text(F.col("title"), F.concat("title", F.lit(" "))).alias("same_title"), evaluate.same_url(F.col("url"), F.concat("url", F.lit("/"))).alias("same_url"), same_lat.alias("same_lat"))
+
 
 # Streams
 
