@@ -88,7 +88,6 @@ LEXICON = (
     "Login / Register",
     "Opening hours: Tue–Sun 10–18. Box office: 555-0127",
     "About Contact Search Menu Log in Calendar Events Donate Plan your visit",
-    "Event calendar",
     "Terms of use",
     "Report a problem",
 )
