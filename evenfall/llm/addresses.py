@@ -3,7 +3,7 @@
 Each address text is parsed into components (house number, street, street type, direction, town, state, postcode, country) with
 locale dictionaries; venue names, units, floors and entrances are dropped, the order of the parts doesn't matter. Two records
 denote the same location if their components agree under explicit rules for missing ones. Candidates come from hierarchical
-keys that always hold the house number: with either end of the street's name, or with the postcode. So one typing error in the
+keys that always hold the house number: with either end of the street's name, or with postcode or town. So one typing error in the
 street can't hide a pair, and no key is as wide as a town. A gazetteer learnt from all complete addresses (postcode to town and
 state) fills in the town where an address has only a postcode.
 
@@ -42,6 +42,7 @@ STATES = {
     "bw": "baden wurttemberg", "by": "bayern", "be": "berlin", "bb": "brandenburg", "hb": "bremen", "hh": "hamburg", "he": "hessen", "mv": "mecklenburg vorpommern", "ni": "niedersachsen", "nw": "nordrhein westfalen", "rp": "rheinland pfalz", "sl": "saarland", "sn": "sachsen", "st_de": "sachsen anhalt", "sh": "schleswig holstein", "th": "thuringen",
     "no": "northern division", "we": "western division", "ce": "central division", "ea": "eastern division",
 }
+STATES_SHORT = {"northern": "no", "western": "we", "central": "ce", "eastern": "ea"}
 # Last words of venue names.
 VENUE_WORDS = frozenset(
     "hall club cafe bar pub tavern inn theatre theater cinema museum gallery playhouse ballroom lounge kitchen arms house collection commons taproom brewery library church center centre rooms room stage basement alehouse restaurant bistro hotel school studio studios annex hub space factory warehouse arena stadium auditorium pavilion venue saloon winery cellar academy institute lodge works kino teatro sala museo galeria bodega taberna theater museum galerie kneipe saal".split()
@@ -55,7 +56,7 @@ def _inverse(types: dict[str, str]) -> dict[str, str]:
 
 
 _EN, _ES, _DE, _DIR = map(_inverse, (ENGLISH_TYPES, SPANISH_TYPES, GERMAN_TYPES, DIRECTIONS))
-_STATE = {name: code.partition("_")[0] for code, name in STATES.items()} | {code: code for code in STATES if "_" not in code}
+_STATE = STATES_SHORT | {name: code.partition("_")[0] for code, name in STATES.items()} | {code: code for code in STATES if "_" not in code}
 _NOISE = re.compile(
     r"\(.*?\)|\bc/o\b|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|fl|flr|piso|planta|stock|og|eg|puerta|hinterhaus|bldg|building|door|gate|entrance)\b\.?\s*#?\s*\d{1,4}[a-z]?\b(?!\d)|#\s*\d+[a-z]?\b"
     r"|\b(?:\d+(?:st|nd|rd|th)|ground|first|second|third|top|upper|lower)\s+(?:floor|fl|level)\b\.?|\b(?:side|rear|back|front|stage|main|north|south|east|west|courtyard)\s+(?:door|entrance|gate)\b|\b\d+\.\s*(?:stock|og)\b|\b(?:erdgeschoss|hinterhof|bajo|rear of building|upstairs|downstairs)\b"
@@ -84,6 +85,7 @@ def parse(text: str | None) -> tuple | None:
     t = re.sub(r"[ \t\r\f\v ]+", " ", t)
     t = re.sub(r"\bp\.?\s?º(?=\s*[a-z])", "paseo", t)
     t = re.sub(r"\bc/\s*", "calle ", t)
+    marked = bool(_NUMBER_SIGN.search(t))
     t = _NUMBER_SIGN.sub(" ", t)
     t = _NOISE.sub(" ", t)
     t = re.sub(r"\b([a-z])\.\s?(?=[a-z]\.)", r"\1", t).replace(".", " ")
@@ -124,6 +126,12 @@ def parse(text: str | None) -> tuple | None:
             continue
         number = w[at]
         before, after = w[:at], w[at + 1 :]
+        if not before and rest and rest[-1] and (rest[-1][0] in _ES or (marked and not any(x.isdigit() for x in rest[-1]))):
+            # "Calle Jarra Redonda, nº 1000 75117 Puerto Aroma"
+            before = rest.pop()
+            if after:
+                rest.append(after)
+            after = []
         if not before and not after:  # a number alone: the street is the part before (or after)
             if rest and len(parts) > 1:
                 before = rest.pop()
@@ -145,7 +153,7 @@ def parse(text: str | None) -> tuple | None:
     for w in rest:
         w = list(w)
         n0 = len(w)
-        while w and (c := _ends(w, COUNTRIES)):
+        while w and (c := _ends(w, COUNTRIES)) and not any(len(w) >= k and " ".join(w[-k:]) in _STATE for k in (2, 3, 4)):
             w = w[:-c]
         for n in (3, 2, 1):
             if len(w) >= n and (code := _STATE.get(" ".join(w[-n:]))):
@@ -212,8 +220,11 @@ def _street(before: list[str], after: list[str]) -> tuple[str, str, str, list[st
             name, kind, tail = w[:k], _EN[w[k]], w[k + 1 :]
         else:
             name, tail = w[:1], w[1:]
-        if not direction and tail and tail[0] in _DIR and (len(tail[0]) <= 2 or " ".join(tail[1:]) in _STATE or len(tail) == 1):
-            direction, tail = _DIR[tail[0]], tail[1:]
+        if not direction and tail and tail[0] in _DIR:
+            if len(tail[0]) <= 2 or " ".join(tail[1:]) in _STATE or len(tail) == 1:
+                direction, tail = _DIR[tail[0]], tail[1:]
+            elif kind:
+                direction = "?" + _DIR[tail[0]]  # "Street East Maccabee": of the street or of the town
         return " ".join(name), kind, direction, tail
     if before and len(before) <= 3:  # name, number without a type
         return " ".join(before), "", "", []
@@ -263,6 +274,18 @@ def same_town(a: str, b: str) -> bool:
     return any(same_words(x, y) for x in a.split("|") for y in b.split("|"))
 
 
+def settled(p: tuple, q: tuple) -> tuple:
+    """An address whose direction word may be the street's or the town's, read as its own postcode's town or the other's tells."""
+    if p[3][:1] != "?":
+        return p
+    full = p[4].partition("|")[0]
+    bare = full.partition(" ")[2]
+    for t in (p[7], q[4], q[7]):
+        if t and bare and same_town(bare, t) != same_town(full, t):
+            return (*p[:3], p[3][1:], bare, *p[5:]) if same_town(bare, t) else (*p[:3], "", *p[4:])
+    return (*p[:3], "", *p[4:])
+
+
 def same_location(p: tuple, q: tuple) -> bool:
     """p, q: (number, street, type, direction, town, state, postcode, town by gazetteer, state by gazetteer).
 
@@ -270,6 +293,7 @@ def same_location(p: tuple, q: tuple) -> bool:
     postcode, state and town. Two postcodes decide the locality; else neither two states nor two towns may differ, where the
     gazetteer's stand in for what the text lacks.
     """
+    p, q = settled(p, q), settled(q, p)
     if p[0] != q[0] or (p[2] and q[2] and p[2] != q[2]) or (p[3] and q[3] and p[3] != q[3]) or not same_words(p[1], q[1]):
         return False
     if p[6] and q[6]:
@@ -311,7 +335,8 @@ def gazetteer(addresses: DataFrame, key: str) -> DataFrame:
 def _keys(df: DataFrame) -> DataFrame:
     """A row for every key of an address."""
     street = F.regexp_replace("street", " ", "")
-    keys = F.array_compact(F.array(F.concat(F.lit("a"), F.substring(street, 1, 4)), F.concat(F.lit("z"), F.substring(F.reverse(street), 1, 4)), F.when(F.col("postcode") != "", F.concat(F.lit("p"), F.col("postcode")))))
+    letters = lambda c: F.array_join(F.array_sort(F.split(F.substring(c, 1, 4), "")), "")  # noqa: E731  # swapped neighbours don't matter
+    keys = F.array_compact(F.array(F.concat(F.lit("a"), letters(street)), F.concat(F.lit("z"), letters(F.reverse(street))), F.when(F.col("postcode") != "", F.concat(F.lit("p"), F.col("postcode"))), F.when(F.col("town") != "", F.concat(F.lit("t"), letters(F.col("town"))))))
     return df.withColumn("_key", F.explode(F.transform(keys, lambda k: F.xxhash64(F.col("number"), k))))
 
 
