@@ -10,10 +10,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from evenfall.functions import grammar, hashing, text, titles, urls
+from evenfall.functions import grammar, hashing, pagetext, text, titles, urls
 from evenfall.functions import html as pages_html
 from evenfall.operators import evaluate, events, extract, geo, incremental, links, times
-from evenfall.plans import finalise
+from evenfall.plans import crawl, finalise
 from evenfall.plans.pages import page_events
 from evenfall.runtime import table
 from evenfall.sources import feeds, platforms
@@ -583,6 +583,36 @@ def q_same_fields(spark, sf_dir):
     same_lat = F.when(F.isnan("location_lat"), F.lit(False)).otherwise(evaluate.same_point(F.col("location_lat"), near))
     return e.select("event_id", evaluate.same_text(F.col("title"), F.concat("title", F.lit(" "))).alias("same_title"), evaluate.same_url(F.col("url"), F.concat("url", F.lit("/"))).alias("same_url"), same_lat.alias("same_lat"))
 
+@query(f"""WITH s AS ({_STATES}), k AS (SELECT source_id, regexp_replace(url, '/+$', '') AS u, any_value(fetched_at) AS f, any_value(extraction_version) AS v FROM s GROUP BY ALL),
+e AS (SELECT p.source_id, e.event_id, CASE WHEN e.event_id % 3 > 0 THEN p.url END AS u, CASE WHEN e.event_id % 2 = 0 THEN 'emit' ELSE '' END AS r FROM event_items e JOIN (SELECT source_id, min(url) AS url FROM page_states GROUP BY source_id) p USING (source_id))
+SELECT e.event_id, CASE WHEN e.u IS NULL OR e.r = 'emit' THEN 'emit' WHEN k.f IS NOT NULL AND k.v = 4 AND TIMESTAMP '2026-06-01' - k.f <= INTERVAL 7 DAYS AND TIMESTAMP '2026-01-01' <= k.f THEN 'skip' ELSE 'follow' END AS route FROM e LEFT JOIN k ON e.source_id = k.source_id AND regexp_replace(e.u, '/+$', '') = k.u""")
+def q_crawl_routes(spark, sf_dir):
+    states = table(spark, sf_dir, "page_states")
+    first = states.groupBy("source_id").agg(F.min("url").alias("url"))
+    n = F.col("event_id")
+    e = table(spark, sf_dir, "event_items").select("source_id", "event_id").join(first, "source_id").select(
+        "source_id", "event_id", F.concat(urls.home_url(F.col("url")), F.lit("list")).alias("listing_url"), F.when(n % 3 > 0, F.col("url")).alias("url"), F.lit("2026-01-01").alias("start_datetime"), F.lit("2026-01-01").alias("end_datetime"),
+        F.when(n % 2 == 0, F.lit("All is said.")).otherwise(F.lit("More soon…")).alias("description"), F.lit("1 Road").alias("location_address"), F.lit(None).cast("double").alias("location_lat"), F.lit(None).cast("string").alias("listing_hash"), F.lit("2026-01-01").cast("timestamp").alias("lastmod"),
+    )
+    return crawl.routed(e, states, F.lit("2026-06-01").cast("timestamp"), 4).select("event_id", "route")
+
+
+@query("""SELECT event_id, 'https://tix.example/e/' || event_id AS ticket FROM event_items WHERE event_id % 2 = 0""")
+def q_ticket_links(spark, sf_dir):
+    n = F.col("event_id").cast("string")
+    body = F.concat(F.lit('<nav><a href="https://nav.example/">Tickets</a></nav><a href="/about">Tickets</a><a href="https://'), F.when(F.col("event_id") % 2 == 0, F.lit("tix")).otherwise(F.lit("x.a")), F.lit(".example/e/"), n, F.lit('">Buy tickets (new)</a>'))
+    page = F.lit("https://a.example/e")
+    p = table(spark, sf_dir, "event_items").select("event_id", pages_html.parsed(body, page).alias("p"))
+    return p.select("event_id", pagetext.ticket_link(F.col("p"), page).alias("ticket")).where("ticket LIKE '%tix%'")
+
+
+@query("""SELECT event_id, 'Hello there' || chr(10) || 'Event ' || event_id || ' starts soon' AS full_text FROM event_items""")
+def q_full_text(spark, sf_dir):
+    n = F.col("event_id").cast("string")
+    body = F.concat(F.lit('<p>Hello there</p><script type="application/json">{"a":["Hello there","<b>Event</b> '), n, F.lit(' starts soon","/img/a b.png","x"],"u":"https://a.example/a b"}</script>'))
+    p = table(spark, sf_dir, "event_items").select("event_id", pages_html.parsed(body, F.lit(None).cast("string")).alias("p"))
+    return p.select("event_id", pagetext.full_text(F.col("p")).alias("full_text"))
+
 
 # Streams
 
