@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,12 +31,26 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+_LONG_SPACE = re.compile(r"\s{20000}")
+
+
+def count_tokens(e, text: str) -> int:
+    """Tokens of the whole text. Very long white space overflows the encoder's own splitting, so such texts are cut here by the same pattern."""
+    if not text:
+        return 0
+    if not _LONG_SPACE.search(text):
+        return len(e.encode_ordinary(text))
+    import regex
+
+    return sum(len(e._encode_single_piece(m[0].encode())) for m in regex.finditer(PATTERN, text))
+
+
 def with_tokens(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """Adds tokens LONG, the number of tokens of the whole text; 0 for null and empty texts."""
 
     def count(texts: pd.Series) -> pd.Series:
         e = encoder(vocabulary)
-        return pd.Series([len(e.encode_ordinary(t)) if t else 0 for t in texts], dtype="int64")
+        return pd.Series([count_tokens(e, t) for t in texts], dtype="int64")
 
     return df.withColumn("tokens", F.pandas_udf(count, "long")(F.coalesce(F.col(text), F.lit(""))))
 

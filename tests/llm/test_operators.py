@@ -189,6 +189,15 @@ def test_mixing(spark):
     assert mixing.copies(d.limit(0), t).count() == 0
 
 
+def test_token_counts():
+    e = tokens.encoder(tokens.VOCABULARY)
+    for t in ("", "Hello there, it's 7 o'clock.  Fine\n\n\n", "x" * 50_000, "a" + " " * 19_999 + "b"):
+        assert tokens.count_tokens(e, t) == len(e.encode_ordinary(t))
+    t = "a" + " \n" * 15_000 + "b c's"
+    assert tokens.count_tokens(e, t) == len(e.encode_ordinary(t))
+    assert tokens.count_tokens(e, " " * 1_000_000) > 0
+
+
 def test_running_sum(spark):
     from pyspark.sql import functions as F
 
