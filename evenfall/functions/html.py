@@ -105,10 +105,18 @@ class _Builder(HTMLParser):
         self.here.children.append(data)
 
 
+#: A sign that opens no tag: dozens more follow without any that closes one. The parser would take a time quadratic in their number.
+_STRAY = re.compile(r"<(?=(?:[^<>]*<){30})")
+
+
+def tamed(html: str) -> str:
+    return _STRAY.sub("&lt;", html)
+
+
 def tree(html: str | None) -> Element:
     b = _Builder()
     try:
-        b.feed(html or "")
+        b.feed(tamed(html or ""))
         b.close()
     except (AssertionError, ValueError):
         pass
@@ -222,7 +230,7 @@ def parsed(html: Column, url: Column) -> Column:
     return F.pandas_udf(_parse_batch, PARSED)(html, url)
 
 
-_TAG = re.compile(r"<[^>]+>")
+_TAG = re.compile(r"<[^<>]+>")
 
 
 def plain(text: str | None) -> str | None:
