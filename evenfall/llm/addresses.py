@@ -58,7 +58,7 @@ def _inverse(types: dict[str, str]) -> dict[str, str]:
 _EN, _ES, _DE, _DIR = map(_inverse, (ENGLISH_TYPES, SPANISH_TYPES, GERMAN_TYPES, DIRECTIONS))
 _STATE = STATES_SHORT | {name: code.partition("_")[0] for code, name in STATES.items()} | {code: code for code in STATES if "_" not in code}
 _NOISE = re.compile(
-    r"\(.*?\)|\bc/o\b|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|fl|flr|piso|planta|stock|og|eg|puerta|hinterhaus|bldg|building|door|gate|entrance)\b\.?\s*#?\s*\d{1,4}[a-z]?\b(?!\d)|#\s*\d+[a-z]?\b"
+    r"\([^()]*\)|\bc/o\b|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|fl|flr|piso|planta|stock|og|eg|puerta|hinterhaus|bldg|building|door|gate|entrance)\b\.?\s*#?\s*\d{1,4}[a-z]?\b(?!\d)|#\s*\d+[a-z]?\b"
     r"|\b(?:\d+(?:st|nd|rd|th)|ground|first|second|third|top|upper|lower)\s+(?:floor|fl|level)\b\.?|\b(?:side|rear|back|front|stage|main|north|south|east|west|courtyard)\s+(?:door|entrance|gate)\b|\b\d+\.\s*(?:stock|og)\b|\b(?:erdgeschoss|hinterhof|bajo|rear of building|upstairs|downstairs)\b"
 )
 _NUMBER_SIGN = re.compile(r"\b(?:n\s?[º°o]\.?|num\.?|numero|nr\.?|no\.)\s*(?=\d)|(?<![\w])[º°]\s*(?=\d)")

@@ -17,31 +17,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenfall.functions.html import BLOCKS, CLOSES, DROPPED, VOID, tamed
 from evenfall.llm import furniture, residue
 
-# Elements whose text is not visible, and those that break lines.
-DROPPED = frozenset(("script", "style", "noscript", "template", "svg", "head"))
-BLOCKS = frozenset(
-    "address article aside blockquote br dd div dl dt figcaption footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split()
-)
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# What an opening tag closes if it is still open, up to the element that holds both.
-_CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr", "td", "th"), ("table",)), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": (("option",), ("select",))}
+#: What a paragraph that is still open doesn't reach beyond.
 _SCOPE = frozenset(("table", "td", "th", "li", "dd", "div", "section", "article", "main", "body", "html", "blockquote", "aside", "footer", "header", "nav", "form"))
 #: Spread of the Gaussian over the lines, and how far it reaches.
 SIGMA, REACH = 1.5, 3
 _KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
 #: Lines whose smoothed ratio is at least this share of the page's spread are content.
 THRESHOLD = 0.9
-_FURNITURE_TAGS = frozenset(("nav", "aside", "footer", "header"))
 
 
 class Line:
-    __slots__ = ("heading", "links", "path", "ratio", "tags", "text")
+    __slots__ = ("heading", "links", "path", "tags", "text")
 
     def __init__(self, text: str, links: int, tags: int, path: tuple[int, ...], heading: bool) -> None:
         self.text, self.links, self.tags, self.path, self.heading = text, links, tags, path, heading
-        self.ratio = 0.0
 
 
 class Reader(HTMLParser):
@@ -52,7 +44,6 @@ class Reader(HTMLParser):
         self.lines: list[Line] = []
         self.stack: list[tuple[str, int]] = []
         self.names: dict[int, str] = {}
-        self.parents: dict[int, int] = {}
         self.count = 0
         self.hidden = 0
         self.hidden_tag = ""
@@ -107,8 +98,8 @@ class Reader(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
-            if tag in _CLOSES:
-                names, within = _CLOSES[tag]
+            if tag in CLOSES:
+                names, within = CLOSES[tag]
                 for n in names:
                     self.pop(n, within)
             elif tag != "br" and any(t == "p" for t, _ in self.stack):
@@ -117,7 +108,6 @@ class Reader(HTMLParser):
             return
         self.count += 1
         self.names[self.count] = tag
-        self.parents[self.count] = self.stack[-1][1] if self.stack else 0
         self.stack.append((tag, self.count))
         self.in_link += tag == "a"
 
@@ -151,7 +141,7 @@ class Reader(HTMLParser):
 def read(html: str) -> Reader:
     r = Reader()
     try:
-        r.feed(html)
+        r.feed(tamed(html))
         r.close()
     except (AssertionError, ValueError):  # markup that the parser gives up on: what it has read so far counts
         pass
