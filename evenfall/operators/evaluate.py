@@ -100,3 +100,29 @@ def evidence_holds(evidence: Column, page_text: Column) -> Column:
     """Whether a record's evidence stands in the page's text, both folded; without evidence it doesn't."""
     e = fold(evidence)
     return (e != "") & F.contains(fold(page_text), e)
+
+
+# Kinds of cases and where they come from.
+KINDS, ORIGINS = ("listing", "detail", "site"), ("manual", "crawl", "correction", "page_review", "report")
+
+
+def case_problems(cases: DataFrame) -> DataFrame:
+    """case_id, problems: what keeps a case from being used, as codes in this order: url, kind, source, captured_at, title, html."""
+    labels = F.from_json("events", "array<struct<title:string>>")
+    untitled = F.exists(labels, lambda e: F.coalesce(e["title"], F.lit("")) == "")
+    bad = lambda c, allowed: ~F.coalesce(F.col(c).isin(*allowed), F.lit(False))
+    found = F.array_compact(
+        F.array(
+            F.when(F.coalesce("url", F.lit("")) == "", F.lit("url")), F.when(bad("kind", KINDS), F.lit("kind")), F.when(bad("source", ORIGINS), F.lit("source")),
+            F.when(F.try_to_timestamp("captured_at").isNull(), F.lit("captured_at")), F.when(F.coalesce(untitled, F.lit(False)), F.lit("title")), F.when(F.coalesce("html", F.lit("")) == "", F.lit("html")),
+        )
+    )
+    return cases.select("case_id", found.alias("problems"))
+
+
+def local_time(value: Column, zone: Column) -> Column:
+    """An ISO time with an offset as a zone's wall clock, to the minute; midnight as its day. Anything else stays. zone: a known name or null."""
+    has_offset = value.rlike(r"T.*(?:Z|[+-]\d{2}:?\d{2})$")
+    wall = F.convert_timezone(F.lit("UTC"), F.coalesce(zone, F.lit("UTC")), F.try_to_timestamp(value).cast("timestamp_ntz"))
+    text = F.date_format(wall, "yyyy-MM-dd'T'HH:mm")
+    return F.when(has_offset & zone.isNotNull() & wall.isNotNull(), F.regexp_replace(text, "T00:00$", "")).otherwise(value)

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from evenfall.functions import hashing, text
 from evenfall.runtime import keyed_join
@@ -71,8 +70,8 @@ def with_fingerprint(events: DataFrame, name: str = "fingerprint", prefix: str =
 def in_run_duplicates(events: DataFrame, run: str = "source_id", key: str = "fingerprint", order: str = "event_id") -> DataFrame:
     """drop_reason 'duplicate_in_run' on all rows of a run's fingerprint but the first by order; rows without a fingerprint are no duplicates.
 
-    A run and fingerprint is a fine key; if one holds very many rows, only (order, run, key) are sorted, and WindowGroupLimit keeps the
-    first without sorting all.
+    The first row of each is found by an aggregate that is combined before the shuffle, and joined back; a fingerprint with very many
+    rows is split by adaptive execution, as its other side is one row.
     """
     first = events.where(F.col(key).isNotNull()).groupBy(run, key).agg(F.min(order).alias("_first"))
     df = events.join(first, [run, key], "left")
@@ -80,9 +79,13 @@ def in_run_duplicates(events: DataFrame, run: str = "source_id", key: str = "fin
 
 
 def latest(df: DataFrame, key: list[str], by: list[str]) -> DataFrame:
-    """The row of each key that is last by the given columns; null keys are a key of their own."""
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in by])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The row of each key that is last by the given columns, nulls before all values; null keys are a key of their own.
+
+    An aggregate that is combined before the shuffle, so a key with very many rows costs no more than any other.
+    """
+    rest = [c for c in df.columns if c not in key]
+    last = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*by)).alias("_r"))
+    return last.select(*[F.col(c) if c in key else F.col(f"_r.{c}") for c in df.columns])
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str = "fingerprint", content: tuple[str, ...] = CONTENT) -> DataFrame:

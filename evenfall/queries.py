@@ -614,6 +614,20 @@ def q_full_text(spark, sf_dir):
     return p.select("event_id", pagetext.full_text(F.col("p")).alias("full_text"))
 
 
+@query("""SELECT case_id, concat_ws(',', CASE WHEN coalesce(url, '') = '' THEN 'url' END, CASE WHEN NOT coalesce(kind IN ('listing', 'detail', 'site'), FALSE) THEN 'kind' END, CASE WHEN NOT coalesce(source IN ('manual', 'crawl', 'correction', 'page_review', 'report'), FALSE) THEN 'source' END,
+  CASE WHEN try_cast(captured_at AS TIMESTAMPTZ) IS NULL THEN 'captured_at' END, CASE WHEN coalesce(len(list_filter(CAST(events AS JSON[]), lambda e: coalesce(json_extract_string(e, '$.title'), '') = '')), 0) > 0 THEN 'title' END, CASE WHEN coalesce(html, '') = '' THEN 'html' END) AS problems FROM cases""")
+def q_case_problems(spark, sf_dir):
+    return evaluate.case_problems(table(spark, sf_dir, "cases")).select("case_id", F.array_join("problems", ",").alias("problems"))
+
+
+@query("""WITH e AS (SELECT event_id, start_datetime AS v, regexp_matches(start_datetime, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}(Z|[+-]\\d{2}:\\d{2})$') AS o FROM event_items WHERE start_datetime IS NOT NULL AND NOT contains(start_datetime, '[') AND trim(start_datetime) = start_datetime)
+SELECT event_id, CASE WHEN o THEN regexp_replace(strftime(timezone('America/New_York', CAST(v AS TIMESTAMPTZ)), '%Y-%m-%dT%H:%M'), 'T00:00$', '') ELSE '' END AS local FROM e""")
+def q_local_times(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items").where("start_datetime IS NOT NULL AND NOT contains(start_datetime, '[') AND trim(start_datetime) = start_datetime")
+    iso = F.col("start_datetime").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$")
+    return e.select("event_id", F.when(iso, evaluate.local_time(F.col("start_datetime"), F.lit("America/New_York"))).otherwise(F.lit("")).alias("local"))
+
+
 # Streams
 
 @query("""SELECT fingerprint, max(event_id) AS event_id FROM event_items WHERE fingerprint IS NOT NULL GROUP BY fingerprint""")
