@@ -320,9 +320,10 @@ _COLUMNS = ("number", "street", "kind", "direction", "town", "state", "postcode"
 
 
 def parsed(addresses: DataFrame) -> DataFrame:
-    """_text, and the components of every distinct address text that names a number and a street."""
+    """The rows of distinct address texts (column _text) that name a number and a street, with the components."""
     parse_udf = F.pandas_udf(_parse_batch, _PARSED)
-    return addresses.where(F.col("_text").isNotNull() & F.col("_text").rlike("[0-9]")).select("_text", parse_udf("_text").alias("p")).select("_text", "p.*").where("number != '' AND street != ''")
+    rows = addresses.where(F.col("_text").isNotNull() & F.col("_text").rlike("[0-9]")).select("*", parse_udf("_text").alias("p"))
+    return rows.select(*addresses.columns, "p.*").where("number != '' AND street != ''")
 
 
 def gazetteer(addresses: DataFrame, key: str) -> DataFrame:
@@ -348,9 +349,11 @@ def same_addresses(seeds: DataFrame, events: DataFrame) -> DataFrame:
     """
     s = seeds.select(F.col("seed_id").cast("long").alias("seed_id"), F.col("location_address").alias("_text"))
     e = events.select(F.col("event_id").cast("long").alias("event_id"), F.col("location_address").alias("_text"))
+    # rows find their text again by 128 bits of hash, so that no join moves or holds the texts themselves
+    hashes = (F.xxhash64("_text").alias("h1"), F.xxhash64("_text", F.lit(1)).alias("h2"))
     texts = s.select("_text", F.lit(True).alias("of_seed")).unionByName(e.select("_text", F.lit(False).alias("of_seed")))
     texts = texts.where("_text IS NOT NULL").groupBy("_text").agg(F.max("of_seed").alias("of_seed"))
-    p = cut(parsed(texts).join(texts, "_text"))
+    p = cut(parsed(texts).select(*hashes, "*").drop("_text"))
     # a postcode tells town and state; where there is none, a town tells the state
     p = keyed_join(p, gazetteer(p, "postcode"), ["postcode"], "left")
     p = keyed_join(p, gazetteer(p.drop("g_town", "g_state"), "town").select("town", F.col("g_state").alias("t_state")), ["town"], "left")
@@ -364,10 +367,10 @@ def same_addresses(seeds: DataFrame, events: DataFrame) -> DataFrame:
     same = F.pandas_udf(_same_batch, "boolean")
     pairs = left.join(right, "_key").dropDuplicates(["l_place", "r_place"]).where(same("a", "b")).select("l_place", "r_place")
     pairs = cut(pairs)
-    by_text = p.select("_text", "place")
-    s_place = cut(s.join(by_text, "_text").select("seed_id", "place"))
+    by_text = p.select("h1", "h2", "place")
+    s_place = cut(s.select("seed_id", *hashes).join(by_text, ["h1", "h2"]).select("seed_id", "place"))
     seeds_of = pairs.join(s_place.withColumnRenamed("place", "r_place"), "r_place").select(F.col("l_place").alias("place"), "seed_id")
-    e_place = keyed_join(e, by_text, ["_text"]).select("event_id", "place")
+    e_place = keyed_join(e.where("_text IS NOT NULL").select("event_id", *hashes), by_text, ["h1", "h2"]).select("event_id", "place")
     found_e = keyed_join(e_place, seeds_of, ["place"]).select("seed_id", F.lit("event").alias("other_kind"), F.col("event_id").alias("other_id"))
     other = s_place.withColumnRenamed("seed_id", "other_id")
     found_s = keyed_join(other, seeds_of, ["place"]).where("seed_id < other_id").select("seed_id", F.lit("seed").alias("other_kind"), "other_id")
