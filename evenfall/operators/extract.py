@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from evenfall.functions import html as pages_html
 from evenfall.functions.html import Element, plain, tree
+from evenfall.runtime import spread
 
 FIELDS = ("title", "description", "start_datetime", "end_datetime", "location_title", "location_address", "location_lat", "location_lon", "ticket_price", "ticket_url", "url", "image_url", "schedule_text", "node")
 CANDIDATE = "struct<" + ",".join(f"{f}:{'double' if f in ('location_lat', 'location_lon', 'ticket_price') else 'string'}" for f in FIELDS) + ">"
@@ -399,7 +400,8 @@ def waterfall(pages: DataFrame, page_id: str, url: str = "url", body: str = "htm
     metadata and recipe, the last two only where title or start is still missing. Null pages and pages without events have no rows.
     """
     css = (F.col(item_css), F.col(css_fields)) if item_css else (F.lit(None).cast("string"), F.lit(None).cast("map<string,string>"))
-    p = pages.where(F.col(body).isNotNull()).select(page_id, F.col(url).alias("_url"), F.col(body).alias("_body"), css[0].alias("_css"), css[1].alias("_cssf"), pages_html.parsed(F.col(body), F.col(url)).alias("_p"))
+    p = spread(pages.where(F.col(body).isNotNull()).select(page_id, F.col(url).alias("_url"), F.col(body).alias("_body"), css[0].alias("_css"), css[1].alias("_cssf")))
+    p = p.withColumn("_p", pages_html.parsed(F.col("_body"), F.col("_url")))
     p = p.select(page_id, linked(F.col("_p")).alias("ld"), inline(F.col("_p")).alias("js"), opengraph(F.col("_p")).alias("og"), (recipe(F.col("_body"), F.col("_url"), F.col("_css"), F.col("_cssf")) if item_css else F.lit(None).cast(CANDIDATES)).alias("rc"))
     some = lambda c: F.coalesce(c, F.array().cast(CANDIDATES))
     many = F.when(F.size("ld") >= 2, "jsonld").when((F.size("ld") == 0) & (F.size("js.all") >= 2), "inline_json").when(F.size(some(F.col("rc"))) >= 2, "recipe").otherwise("waterfall")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from evenfall.functions import html, urls
+from evenfall.runtime import spread
 
 #: A listing page scores at least so much, and from a sitemap, where no text speaks for it, less.
 THRESHOLD, SITEMAP_THRESHOLD = 3.0, 1.5
@@ -20,7 +21,7 @@ PAGE_PARAMETERS = "page|paged|p|pg|offset"
 
 def anchors(pages: DataFrame, page_id: str, url: str = "url", body: str = "html") -> DataFrame:
     """page_id, page_url, pos, href, link (absolute, without fragment), text, rel, cls, in_nav, in_chrome, signature of every anchor."""
-    p = pages.select(F.col(page_id), F.col(url).alias("page_url"), html.parsed(F.col(body), F.col(url)).alias("_p"))
+    p = spread(pages.select(page_id, F.col(url).alias("page_url"), F.col(body).alias("_b"))).select(page_id, "page_url", html.parsed(F.col("_b"), F.col("page_url")).alias("_p"))
     a = p.select(page_id, "page_url", F.explode("_p.anchors").alias("a"))
     return a.select(page_id, "page_url", "a.pos", "a.href", F.regexp_replace("a.url", "#.*$", "").alias("link"), "a.text", "a.rel", "a.cls", "a.in_nav", "a.in_chrome", "a.signature")
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenfall.runtime import keyed_join
+from evenfall.runtime import keyed_join, spread
 
 # Month names by language, three letters or the full word, as they are written on event pages.
 MONTHS = {
@@ -268,7 +268,7 @@ def with_utc(events: DataFrame, sources: DataFrame, fields: tuple[str, ...] = ("
     """
     zones = sources.select(F.col("source_id").alias("_sid"), F.col("context.timezone").alias("_szone")).dropDuplicates(["_sid"])
     e = events.select(*keep, *[F.col(f).alias(f"_{f}") for f in fields], F.col("timezone").alias("_zone"), F.col("source_id").alias("_sid"), F.unix_seconds(F.col("crawled_at").cast("timestamp")).alias("_crawled"))
-    e = keyed_join(e, zones, ["_sid"], "left")
+    e = keyed_join(spread(e), zones, ["_sid"], "left")
     normalised = F.pandas_udf(_normalised, "string")
     blank = F.trim(F.coalesce(F.col("_zone"), F.lit(""))) == ""
     zone = F.when(blank, F.lit(None)).otherwise(F.col("_zone"))

@@ -15,7 +15,7 @@ from evenfall.functions import html as pages_html
 from evenfall.operators import evaluate, events, extract, geo, incremental, links, times
 from evenfall.plans import crawl, finalise
 from evenfall.plans.pages import page_events
-from evenfall.runtime import table
+from evenfall.runtime import cut, spread, table
 from evenfall.sources import feeds, platforms
 
 QUERIES: dict = {}
@@ -330,9 +330,11 @@ def q_jsonld_events(spark, sf_dir):
 
 def _case_sides(spark, sf_dir):
     c = table(spark, sf_dir, "cases")
+    pages = spread(c.select("case_id", "html", "url"))
     lab = c.select("case_id", F.posexplode(F.from_json("events", "array<struct<title:string,start_datetime:string>>")).alias("idx", "e")).select("case_id", "idx", "e.title", F.substring("e.start_datetime", 1, 16).alias("start"))
-    p = c.select("case_id", pages_html.parsed(F.col("html"), F.col("url")).alias("p")).select("case_id", F.posexplode(extract.linked(F.col("p"))).alias("idx", "e"))
-    return c, lab, p.select("case_id", "idx", "e.title", F.substring("e.start_datetime", 1, 16).alias("start"))
+    p = pages.select("case_id", pages_html.parsed(F.col("html"), F.col("url")).alias("p")).select("case_id", F.posexplode(extract.linked(F.col("p"))).alias("idx", "e"))
+    # the pages are read once; what was found is small and looked at several times
+    return c, lab, cut(p.select("case_id", "idx", "e.title", F.substring("e.start_datetime", 1, 16).alias("start")))
 
 
 _SIDES = f"""l AS (SELECT case_id, count(*) AS labelled FROM (SELECT case_id, unnest(CAST(events AS JSON[])) AS e FROM cases) GROUP BY case_id),

@@ -46,6 +46,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that comes in fewer partitions than there are cores is dealt out to all of them, for work that costs more than moving its rows.
+
+    Large inputs come in more partitions and stay as they are, and so do plans with a shuffle, which can't be counted without a run.
+    """
+    plan = df._jdf.queryExecution()
+    if plan.executedPlan().toString().startswith("AdaptiveSparkPlan"):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; reads no more than it must."""
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
