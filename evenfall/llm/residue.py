@@ -27,6 +27,8 @@ from evenfall.llm import furniture
 #: Fields that the model is fitted on, at most: of all, and of those with trusted residue.
 SAMPLE_FIELDS = 12_000
 TRUSTED_FIELDS = 6_000
+#: Fields, drawn by hash, that are looked through for trusted ones.
+TRUSTED_LOOKS = 150_000
 ROUNDS = 6
 #: Share of an unlabelled passage that may go over to the positives, so that trusted ones keep defining the class.
 UNLABELLED_WEIGHT = 0.003
@@ -197,11 +199,18 @@ class Scorer:
 def learn(fields: DataFrame) -> tuple[dict[str, float], float, float]:
     """The model from a bounded sample of fields (columns field_name, text)."""
     n = fields.count()
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    some = fields.where(draw < F.lit(int(1e6 * min(1.0, SAMPLE_FIELDS / max(n, 1))) + 1)).limit(2 * SAMPLE_FIELDS)
+    texts = fields.select("text", "field_name")
     trusted = F.pandas_udf(_trusted_batch, "boolean")
-    sure = fields.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1_000_000)) < F.lit(int(1e6 * min(1.0, 150_000 / max(n, 1))) + 1)).where(trusted("text")).limit(TRUSTED_FIELDS)
-    rows = some.select("text", "field_name").union(sure.select("text", "field_name")).distinct().collect()
+
+    def drawn(seed: int, size: int) -> DataFrame:
+        """About so many fields, chosen by the hash of their text."""
+        return texts.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) < F.lit(int(1e6 * min(1.0, size / max(n, 1))) + 1))
+
+    def first(some: DataFrame, most: int) -> DataFrame:
+        """Distinct fields, at most so many; a text that many records share counts once."""
+        return some.distinct().orderBy(F.xxhash64("text", F.lit(2)), "field_name").limit(most)
+
+    rows = first(drawn(0, SAMPLE_FIELDS), 2 * SAMPLE_FIELDS).union(first(drawn(1, TRUSTED_LOOKS).where(trusted("text")), TRUSTED_FIELDS)).distinct().collect()
     return fit(sorted((r["text"], r["field_name"] == "title") for r in rows))
 
 
