@@ -24,9 +24,9 @@ from evenfall.llm import residue
 from evenfall.operators import times
 from evenfall.runtime import cut, keyed_join
 
-#: Registers that are banded: BANDS bands of ROWS registers. A pair of similarity 0.7 shares a band with a probability of 0.992, one
-#: of 0.75 with 0.9989.
-ROWS, BANDS = 4, 18
+#: Registers that are banded: BANDS bands of ROWS registers. A pair of similarity 0.7 shares a band with a probability of 0.996, one
+#: of 0.75 with 0.9995.
+ROWS, BANDS = 4, 20
 REGISTERS = ROWS * BANDS
 #: One bit of so many of the minima is kept, and so many may differ: a pair of similarity 0.7 passes by 3.9 standard deviations.
 BITS, MAX_DIFFERENT = 64, 21
