@@ -28,6 +28,8 @@ LANGUAGES = ("en", "de", "es", "fr")
 _GARBLED = re.compile(r"[ÃÂ][\u0080-¿Œ-Ÿ‚-›€\s]|â‚¬|â€|Ã.|Â|ï¿½|�")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _TOKEN = re.compile(r"\w+(?:['’]\w+)*")
+#: Neither letter, digit nor white space.
+_MARK = re.compile(r"[^\w\s]|_")
 _END = re.compile(r"[.!?…][\"'”’)\]]*$")
 #: Pictures and hashtags behind a text.
 _TAIL = re.compile(r"(?:\s*(?:#\w+|[\u2600-\u27bf\U0001f000-\U0001faff\ufe0f]+))+\s*$")
@@ -48,7 +50,8 @@ def units(text: str) -> list[str]:
         held = s
     if held:
         out.append(held)
-    return [x for u in out for x in _SPLIT.split(_TAIL.sub("", u)) if x and x.strip()]
+    # a tail ends in a picture or has a hashtag
+    return [x for u in out for x in _SPLIT.split(_TAIL.sub("", u) if "#" in u or u[-1] >= "\u2600" else u) if x and x.strip()]
 
 
 def is_sentence(unit: str, common: frozenset[str]) -> bool:
@@ -58,16 +61,15 @@ def is_sentence(unit: str, common: frozenset[str]) -> bool:
     n = len(words)
     if n < 4 or len(tokens) - n > 0.2 * len(tokens):
         return False
-    marks = sum(not (c.isalnum() or c.isspace()) for c in unit)
+    marks = len(_MARK.findall(unit))
     if marks > 0.14 * len(unit) or unit.count("\t") > 1 or unit.count("|") > 1 or unit.count(";") > 3 or unit.count("»") > 1:
         return False
-    low = [w.lower() for w in words]
-    known = sum(w in common for w in low) / n
+    known = sum(map(common.__contains__, map(str.lower, words))) / n
     titled = sum(w[0].isupper() and not w.isupper() for w in words[1:]) / max(1, n - 1)
     ends = bool(_END.search(unit))
     if furniture.reads_like(unit):
         return False
-    if known < 0.12 or sum(len(w) == 1 for w in words) > 0.4 * n:
+    if known < 0.12 or list(map(len, words)).count(1) > 0.4 * n:
         return False
     if ends:
         return n >= 5 and (known >= 0.15 or titled < 0.3) and not (titled > 0.8 and known < 0.2)
@@ -84,9 +86,9 @@ def statistics(text: str | None, common: frozenset[str]) -> tuple:
     t = text or ""
     words = _WORD.findall(t)
     n = len(words)
-    solid = sum(not c.isspace() for c in t)
+    solid = sum(map(len, t.split()))
     letters = sum(map(len, words))
-    digits = sum(c.isdigit() for c in t)
+    digits = sum(map(str.isdigit, t))
     lines = [x.strip() for x in t.split("\n") if x.strip()]
     prose = whole = 0
     for k, u in enumerate(units(t)):
@@ -102,10 +104,10 @@ def statistics(text: str | None, common: frozenset[str]) -> tuple:
         (solid - letters - digits) / solid if solid else 0.0,
         digits / solid if solid else 0.0,
         sum(bool(_END.search(x)) for x in lines) / len(lines) if lines else 0.0,
-        sum(w.lower() in common for w in words) / n if n else 0.0,
+        sum(map(common.__contains__, map(str.lower, words))) / n if n else 0.0,
         prose / whole if whole else 0.0,
         min(1.0, len(_GARBLED.findall(t)) / n) if n else 0.0,
-        sum(len(w) == 1 for w in words) / n if n else 0.0,
+        list(map(len, words)).count(1) / n if n else 0.0,
     )
 
 
