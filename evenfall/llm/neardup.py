@@ -179,6 +179,11 @@ def _same_batch(threshold: float):
     return same
 
 
+def slot_of(length: int):
+    """The number of the slot of so many seconds that at lies in, rounded down before 1970 too."""
+    return F.expr(f"(at - pmod(at, {length})) div {length}")
+
+
 def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window: int) -> DataFrame:
     """(id_a, id_b), id_a < id_b: records with at least that similarity whose times are at most window seconds apart.
 
@@ -191,13 +196,15 @@ def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window
     # one record stands for all with the same words: they have the same registers
     classes = cut(r.groupBy("k1", "k2").agg(F.min_by(F.struct(F.col("id").alias("rep"), "size", "sketch", "bits"), "id").alias("c"), F.count(F.lit(1)).alias("members")).select("k1", "k2", "c.*", "members"))
     members = cut(r.select("id", "at", "k1", "k2").join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "at", "rep"))
-    slot = F.expr(f"at div {SLOT * window}")
+    length = SLOT * window
+    slot = slot_of(length)
     spans = members.groupBy("rep", slot.alias("slot")).agg(F.min("at").alias("first"), F.max("at").alias("last")).join(classes.select("rep", "size", "sketch", "bits"), "rep")
     # a class stands in its slot, and in the next one if it reaches within a window of it
-    near = F.col("last") >= (F.col("slot") + 1) * (SLOT * window) - window
+    near = F.col("last") >= (F.col("slot") + 1) * length - window
     spans = spans.withColumn("slot", F.explode(F.when(near, F.array(F.col("slot"), F.col("slot") + 1)).otherwise(F.array(F.col("slot")))))
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS), F.col("slot")) for i in range(BANDS)])
-    rows = spans.select(F.explode(keys).alias("key"), "rep", "size", "bits", F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))
+    # times from the start of the slot, which the key fixes: small whatever the date, so the rows stay narrow
+    rows = spans.select(F.explode(keys).alias("key"), "rep", "size", "bits", (F.col("first") - F.col("slot") * length).alias("first"), (F.col("last") - F.col("slot") * length).alias("last"))
     x, y = rows.alias("x"), rows.alias("y")
     meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.first") - window <= F.col("y.last")) & (F.col("y.first") - window <= F.col("x.last"))
     fits = F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * F.lit(threshold)
@@ -211,7 +218,7 @@ def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window
     pairs = cut(pairs.where(same("ta", "tb")).select("a", "b"))
     # back to records: pairs of two classes, and of one class with itself
     both = pairs.unionByName(classes.where("members > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b")))
-    mine = members.withColumn("slot", F.expr(f"at div {window}"))
+    mine = members.withColumn("slot", slot_of(window))
     left = keyed_join(mine.select(F.col("rep").alias("a"), F.col("id").alias("ia"), F.col("at").alias("ta"), F.col("slot").alias("sa")), both, ["a"])
     left = left.withColumn("slot", F.explode(F.array(F.col("sa") - 1, F.col("sa"), F.col("sa") + 1)))
     right = mine.select(F.col("rep").alias("b"), "slot", F.col("id").alias("ib"), F.col("at").alias("tb"))

@@ -137,6 +137,21 @@ def test_near_duplicates_as_brute_force(spark):
     assert neardup.similar_pairs(d.limit(0), d.limit(0).select("id", "text"), 0.7, 3600).count() == 0
 
 
+def test_near_duplicates_at_any_date(spark):
+    r = random.Random(6)
+    year, slot = 31_556_952, neardup.SLOT * 3600
+    rows = []
+    for start in (-10 * year, 92 * year, 8000 * year, 0):
+        border = start // slot * slot
+        # just before and behind a slot's border, and one too far off; other words each time, so only these can be pairs
+        for gap in (1, 1800, 3600, 3601):
+            t = " ".join(f"w{r.randrange(10**9)}" for _ in range(30))
+            rows += [(len(rows), border - 1, t), (len(rows) + 1, border - 1 + gap, t + " more"), (len(rows) + 2, border - 1, t + " other")]
+    d = spark.createDataFrame(rows, "id long, at long, text string")
+    got = {tuple(x) for x in neardup.similar_pairs(d, d.select("id", "text"), 0.7, 3600).collect()}
+    assert got == {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and abs(a[1] - b[1]) <= 3600 and neardup.jaccard(neardup.words(a[2]), neardup.words(b[2])) >= 0.7}
+
+
 def test_likelihood_estimate():
     r = np.random.default_rng(1)
     h = neardup.Hasher()
