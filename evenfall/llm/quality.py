@@ -3,7 +3,9 @@
 One pass over the texts gives the statistics. For the decision each statistic is turned to a goodness between 0 and 1 that is 1 for
 all that prose may do, whatever its layout, case or punctuation. Within each language the goodness values are ranked exactly: distinct
 values with their counts are range-partitioned and sorted, each partition is offset by the counts before it. The share of documents that
-are as bad or worse is the empirical tail probability; the negative logarithms of the tails add up to the outlier score.
+are as bad or worse is the empirical tail probability; the negative logarithms of the tails add up to the outlier score. So that junk
+which fills a language can't hide itself, the tail is the least of three: among the documents of the language, among the distinct
+texts of all languages, where copies count once, and the goodness itself.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from pyspark.sql.window import Window
 from evenfall.llm import furniture
 from evenfall.runtime import cut
 
-#: Outlier score above which a document is no prose: it is among the worse 60 % of its language in at least one statistic of which
-#: most prose has the best value, or among fewer in several.
+#: Outlier score above which a document is no prose: in at least one statistic of which most prose has the best value it is among the
+#: worse 60 % of its language or of all distinct texts, or has less than 60 % of the goodness, or it falls less short in several.
 SCORE = 0.5
 #: Goodness is ranked in steps of one in STEPS, so a language has at most STEPS + 1 values a statistic.
 STEPS = 1000
 LANGUAGES = ("en", "de", "es", "fr")
+#: Stands for all languages together.
+POOL = "all"
 # What text decoded with the wrong character set is full of.
 _GARBLED = re.compile(r"[ÃÂ][\u0080-¿Œ-Ÿ‚-›€\s]|â‚¬|â€|Ã.|Â|ï¿½|�")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -132,8 +136,8 @@ def language(lang: str = "lang"):
     return F.when(two.isin(*LANGUAGES), two).otherwise(F.lit("other"))
 
 
-def document_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
-    """doc_id, language and the statistics of every document. Null and empty texts have 0 everywhere.
+def document_statistics(documents: DataFrame, common_words: DataFrame, *keep) -> DataFrame:
+    """doc_id, language, columns to keep and the statistics of every document. Null and empty texts have 0 everywhere.
 
     common_words is the fixed list of a few hundred words; words of all languages count, as a document's language tag may be wrong.
     """
@@ -145,7 +149,8 @@ def document_statistics(documents: DataFrame, common_words: DataFrame) -> DataFr
     def measure(text: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([statistics(t, sent.value) for t in text], columns=NAMES)
 
-    return documents.select("doc_id", language().alias("language"), F.pandas_udf(measure, _SCHEMA)("text").alias("s")).select("doc_id", "language", "s.*")
+    d = documents.select("doc_id", language().alias("language"), *keep, F.pandas_udf(measure, _SCHEMA)("text").alias("s"))
+    return d.select(*d.columns[:-1], "s.*")
 
 
 def goodness(name: str):
@@ -170,13 +175,20 @@ def exact_tails(values: DataFrame) -> DataFrame:
 
 
 def outlier_scores(stats: DataFrame) -> DataFrame:
-    """doc_id, score of the documents that fall short in any statistic; all others have the score 0."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("statistic"), goodness(n).alias("value")) for n in GOOD])
-    values = cut(stats.select("doc_id", "language", F.explode(pairs).alias("p")).select("doc_id", "language", "p.statistic", "p.value"))
-    tails = exact_tails(values)
-    # at most (STEPS + 1) values for each of 8 statistics and 5 languages: a table with a fixed bound
-    short = values.where(F.col("value") < STEPS).join(F.broadcast(tails), ["language", "statistic", "value"])
-    return short.groupBy("doc_id").agg(F.sum(-F.log("tail")).alias("score"))
+    """doc_id, score of the documents that fall short in any statistic; all others have the score 0.
+
+    stats: as document_statistics gives them, with text_key, which is the same for copies of a text.
+    """
+    goods = cut(stats.select("doc_id", "text_key", "language", *[goodness(n).alias(n) for n in GOOD]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in GOOD])).alias("p")
+    values = goods.select("doc_id", "language", pairs).select("doc_id", "language", "p.statistic", "p.value")
+    pool = goods.dropDuplicates(["text_key"]).select(F.lit(POOL).alias("language"), pairs).select("language", "p.statistic", "p.value")
+    # at most (STEPS + 1) values for each of 8 statistics and 6 groups: a table with a fixed bound
+    tails = exact_tails(values.drop("doc_id").unionByName(pool))
+    pooled = tails.where(F.col("language") == POOL).select("statistic", "value", F.col("tail").alias("pooled"))
+    short = values.where(F.col("value") < STEPS).join(F.broadcast(tails), ["language", "statistic", "value"]).join(F.broadcast(pooled), ["statistic", "value"])
+    tail = F.least("tail", "pooled", F.greatest("value", F.lit(1)) / STEPS)
+    return short.groupBy("doc_id").agg(F.sum(-F.log(tail)).alias("score"))
 
 
 def not_prose(documents: DataFrame, common_words: DataFrame) -> DataFrame:
@@ -184,5 +196,6 @@ def not_prose(documents: DataFrame, common_words: DataFrame) -> DataFrame:
 
     doc_id is unique; a language without any prose has no outliers to tell, so all languages share the same scale of goodness.
     """
-    scores = outlier_scores(document_statistics(documents, common_words))
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    scores = outlier_scores(document_statistics(documents, common_words, key))
     return scores.where(F.col("score") > SCORE).select("doc_id")

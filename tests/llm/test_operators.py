@@ -260,3 +260,18 @@ def test_not_prose_and_exact_tails(spark):
     v = spark.createDataFrame([("en", "s", x) for x in (1, 1, 2, 5, 5, 5)], "language string, statistic string, value int")
     assert {(r["value"], round(r["tail"], 4)) for r in quality.exact_tails(v).collect()} == {(1, 0.3333), (2, 0.5), (5, 1.0)}
     assert quality.not_prose(d.limit(0), w).count() == 0
+
+
+def test_junk_that_is_most_of_a_language(spark):
+    prose = [(i, f"The hall is open to everyone who likes song {i}, and it is on the hill.", lang) for i, lang in enumerate(["en"] * 60 + ["fr"] * 10 + [None] * 3)]
+    listed = "\n".join(f"{n} Bell\n{n} Carr" for n in ("Ann", "Bob", "Cid", "Dot"))
+    copies = [(1000 + i, listed, "fr") for i in range(60)]
+    edited = [(2000 + i, listed + f"\nEve Dole {i}", None) for i in range(40)]
+    half = "The hall is open to everyone who likes songs, and it is on the hill.\n" + "\n".join(["Ann Bell", "Bob Carr", "Cid Dole", "Dot Ellis", "Eve Ford"])
+    # falls short in sentences only, by less than would count without its rank
+    slight = [(3000 + i, half, "fr") for i in range(20)]
+    d = spark.createDataFrame(prose + copies + edited + slight, "doc_id long, text string, lang string")
+    w = spark.createDataFrame([("en", x) for x in COMMON], "lang string, word string")
+    s = dict(zip(quality.NAMES, quality.statistics(half, COMMON)))
+    assert [n for n, (b, o) in quality.GOOD.items() if (s[n] - o) / (b - o) < 1] == ["sentence_ratio"] and s["sentence_ratio"] > 0.607 * 0.7
+    assert {r["doc_id"] for r in quality.not_prose(d, w).collect()} == {x[0] for x in copies + edited + slight}
