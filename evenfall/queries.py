@@ -258,6 +258,17 @@ def q_end_after_start(spark, sf_dir):
     return e.select("event_id", F.date_format(events.end_after_start(F.col("s"), F.col("e")), "yyyy-MM-dd'T'HH:mm:ss").alias("end_datetime"))
 
 
+@query()
+def q_end_after_start_rows(spark, sf_dir):
+    """All rows, with the starts and ends of p4; where one of them is a day without a time, days are compared."""
+    u = times.with_utc(table(spark, sf_dir, "event_items"), table(spark, sf_dir, "sources"))
+    start, end = F.col("start_datetime_utc"), F.col("end_datetime_utc")
+    timed = (F.length(start) > 10) & (F.length(end) > 10)
+    late = F.date_format(events.end_after_start(F.try_to_timestamp(start), F.try_to_timestamp(end)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    kept = F.when(F.substring(end, 1, 10) >= F.substring(start, 1, 10), end)
+    return u.select("event_id", F.when(start.isNull(), end).when(timed, late).otherwise(kept).alias("end_datetime"))
+
+
 @query("""WITH e AS (SELECT event_id, CAST(crawled_at AS DATE) AS d, list_transform(recurrence_byday, lambda x: upper(right(x, 2))) AS c FROM event_items WHERE recurrence_byday IS NOT NULL)
 SELECT event_id, strftime(list_filter([d + i::INTEGER for i in range(8)], lambda x: list_contains(c, ['MO','TU','WE','TH','FR','SA','SU'][isodow(x)]))[1], '%Y-%m-%d') AS next_day FROM e""")
 def q_next_occurrence(spark, sf_dir):
@@ -377,6 +388,14 @@ def q_evidence(spark, sf_dir):
     return e.where(F.col("evidence").isNull() | plain).select("event_id", evaluate.evidence_holds(F.col("evidence"), body).alias("holds"))
 
 
+@query()
+def q_evidence_rows(spark, sf_dir):
+    """All rows; white space is folded, which the SQL of q_evidence doesn't follow."""
+    e = table(spark, sf_dir, "event_items")
+    body = F.concat(F.coalesce("description", F.lit("")), F.lit(" "), F.coalesce("start_datetime", F.lit("")))
+    return e.select("event_id", evaluate.evidence_holds(F.col("evidence"), body).alias("holds"))
+
+
 def _generated(spark, sf_dir):
     """Pages of five kinds from event rows, in turn by event_id."""
     e = table(spark, sf_dir, "event_items").select("event_id", F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("t"), F.date_format("crawled_at", "yyyy-MM-dd'T'HH:mm").alias("s"))
@@ -630,6 +649,14 @@ def q_local_times(spark, sf_dir):
     return e.select("event_id", F.when(iso, evaluate.local_time(F.col("start_datetime"), F.lit("America/New_York"))).otherwise(F.lit("")).alias("local"))
 
 
+@query()
+def q_local_times_rows(spark, sf_dir):
+    """All rows, with the starts of p4; what p4 can't read stays as it is."""
+    e = table(spark, sf_dir, "event_items")
+    u = times.with_utc(e, table(spark, sf_dir, "sources"), ("start_datetime",), ("event_id", "start_datetime"))
+    return u.select("event_id", evaluate.local_time(F.coalesce("start_datetime_utc", "start_datetime"), F.lit("America/New_York")).alias("local"))
+
+
 # Streams
 
 @query("""SELECT fingerprint, max(event_id) AS event_id FROM event_items WHERE fingerprint IS NOT NULL GROUP BY fingerprint""")

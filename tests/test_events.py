@@ -94,3 +94,27 @@ def test_streams(spark, tmp_path):
     assert {(r["fingerprint"], r["event_id"]) for r in last.collect()} == {("a", 3), ("b", 2), ("c", 4)}
     ingest.run(ingest.first_of_each(src()), str(tmp_path / "first"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "first")).count() == 3
+
+
+def test_queries_over_all_rows(spark, tmp_path):
+    from evenfall import queries
+
+    at = datetime(2026, 5, 1, 12)
+    made = [
+        (1, "Songs  of\nthe\tsea", "songs of the SEA", "2026-05-03T20:00:00-04:00", "2026-05-03T18:30:00-04:00"),
+        (2, "  Two lines\n\nof text ", "lines of text", "May 4, 2026 8 pm", "May 4, 2026 11 pm"),
+        (3, "Other", "not there", "2026-05-05", "2026-05-05"),
+        (4, None, None, "soon", None),
+        (5, "x", " ", None, "2026-05-06T10:00:00Z"),
+        (6, "x", "2026-05-07T20:00:00Z", "2026-05-07T20:00:00Z", "2026-05-01T20:00:00Z"),
+        (7, "x", "x", "2026-05-08T20:00:00Z", "2026-05-08"),
+    ]
+    d = spark.createDataFrame([(*r, "America/New_York", "s", at) for r in made], "event_id long, description string, evidence string, start_datetime string, end_datetime string, timezone string, source_id string, crawled_at timestamp")
+    d.write.parquet(f"{tmp_path}/event_items.parquet")
+    spark.createDataFrame([("s", (None,))], "source_id string, context struct<timezone:string>").write.parquet(f"{tmp_path}/sources.parquet")
+    got = lambda name: {r[0]: r[1] for r in queries.QUERIES[name](spark, str(tmp_path)).collect()}
+    fold = lambda t: " ".join((t or "").split()).lower()
+    assert got("q_evidence_rows") == {i: fold(v) != "" and fold(v) in fold(f"{t or ''} {s or ''}") for i, t, v, s, _ in made}
+    assert len(got("q_evidence")) < len(made)
+    assert got("q_end_after_start_rows") == {1: "2026-05-04T22:30:00Z", 2: "2026-05-05T03:00:00Z", 3: "2026-05-05", 4: None, 5: "2026-05-06T10:00:00Z", 6: None, 7: "2026-05-08"}
+    assert got("q_local_times_rows") == {1: "2026-05-03T20:00", 2: "2026-05-04T20:00", 3: "2026-05-05", 4: "soon", 5: None, 6: "2026-05-07T16:00", 7: "2026-05-08T16:00"}
