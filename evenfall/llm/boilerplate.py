@@ -2,8 +2,8 @@
 
 A page is read as a stream of parser events. They give the lines of its visible text, and for each line its characters, the share of
 them in links, the tags around it and the elements that hold it. The text-to-tag ratio of the lines is smoothed with a Gaussian
-and clustered by a threshold; the part of the page that holds most of the content lines (with the page's heading, where it has
-one) is the body. Lines elsewhere are boilerplate, and so are lines of the body that are made of links to menus or sharing, or
+and clustered by a threshold. The body is the part of the page around its h1; only where it has none, the part that holds most of the
+content lines. Lines elsewhere are boilerplate, and so are lines of the body that are made of links to menus or sharing, or
 that read like a notice. Descriptions have no tags, so their lines are judged by wording alone.
 """
 
