@@ -532,6 +532,32 @@ def q_visible_text(spark, sf_dir):
     p = table(spark, sf_dir, "cases").select("case_id", pages_html.parsed(F.col("html"), F.col("url"))["visible_text"].alias("t"))
     return p.select("case_id", F.size(F.split("t", "\n")).alias("lines"), F.length("t").alias("chars"))
 
+
+# The tables' own pages and texts, whole; no SQL follows these
+
+
+@query()
+def q_case_links(spark, sf_dir):
+    a = cut(links.anchors(table(spark, sf_dir, "cases"), "case_id"))
+    found = links.detail_links(a, "case_id").select("case_id", F.lit("detail").alias("kind"), "link")
+    return found.unionByName(links.next_pages(a, "case_id").select("case_id", F.lit("next").alias("kind"), "link"))
+
+
+@query()
+def q_case_texts(spark, sf_dir):
+    p, page = F.col("p"), F.col("url")
+    c = spread(table(spark, sf_dir, "cases").select("case_id", "html", "url")).withColumn("p", pages_html.parsed(F.col("html"), page))
+    return c.select("case_id", pagetext.full_text(p).alias("full_text"), pagetext.ticket_link(p, page).alias("ticket"), platforms.platform(p, F.col("html"), page).alias("platform"), F.array_join(platforms.calendar_feeds(p, page), ",").alias("feeds"))
+
+
+@query()
+def q_event_words(spark, sf_dir):
+    said = F.concat_ws(" ", "title", "description")
+    e = spread(table(spark, sf_dir, "event_items").select("event_id", "title", "description", "crawled_at"))
+    e = e.select("event_id", grammar.clock(said).alias("clock"), grammar.several_dates(F.col("description"), F.col("crawled_at")).alias("t"), grammar.recurrence(said, F.col("crawled_at")).alias("r"))
+    return e.select("event_id", "clock", "t.start", F.array_join("t.rdates", ",").alias("rdates"), F.array_join("t.exdates", ",").alias("exdates"), "r.freq", "r.interval", F.array_join("r.byday", ",").alias("byday"), "r.until")
+
+
 # Made pages and records: what has to come out follows from the row
 
 

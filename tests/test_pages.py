@@ -46,3 +46,23 @@ def test_links(spark):
     assert "https://a.example/calendar" in [r["link"] for r in links.events_pages(a, "id").collect()]
     kept = links.without_nested(spark.createDataFrame([(1, "https://a.example/e"), (1, "https://a.example/e/1"), (1, "https://a.example/ex")], "id long, link string"), "id")
     assert sorted(r["link"] for r in kept.collect()) == ["https://a.example/e", "https://a.example/ex"]
+
+
+def test_queries_over_the_tables_own_pages_and_texts(spark, tmp_path):
+    from datetime import datetime
+
+    from evenfall import queries
+
+    cards = "".join(f'<p class="c"><a class="l" href="/events/show-{i}">Show {i}</a></p>' for i in range(4))
+    page = f'<body><div class="tribe-events-bar">x</div><div>{cards}</div><a href="/list?page=2" rel="next">2</a><a href="https://tix.example/e/1">Buy tickets</a></body>'
+    spark.createDataFrame([(1, page, "https://a.example/list"), (2, "", "https://a.example/x"), (3, None, None)], "case_id long, html string, url string").write.parquet(f"{tmp_path}/cases.parquet")
+    at = datetime(2026, 5, 1)
+    e = [(1, "Songs", "Doors at 4 | show at 7:30", at), (2, "Talk", "June 3, June 10 and June 17, 2026 from 7 to 9 p.m.", at), (3, "Live music every Monday", None, at), (4, None, None, at)]
+    spark.createDataFrame(e, "event_id long, title string, description string, crawled_at timestamp").write.parquet(f"{tmp_path}/event_items.parquet")
+    rows = lambda name: queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in rows("q_case_links")} == {(1, "detail", f"https://a.example/events/show-{i}") for i in range(4)} | {(1, "next", "https://a.example/list?page=2")}
+    texts = {r["case_id"]: r for r in rows("q_case_texts")}
+    assert set(texts) == {1, 2, 3} and texts[1]["ticket"] == "https://tix.example/e/1" and texts[1]["platform"] == "tribe" and "Show 2" in texts[1]["full_text"]
+    words = {r["event_id"]: r for r in rows("q_event_words")}
+    assert set(words) == {1, 2, 3, 4} and words[1]["clock"] == "19:30" and words[2]["start"] == "2026-06-03T19:00:00" and words[2]["rdates"] == "2026-06-10T19:00:00,2026-06-17T19:00:00"
+    assert (words[3]["freq"], words[3]["byday"]) == ("weekly", "MO") and words[4]["clock"] is None and words[4]["freq"] is None
