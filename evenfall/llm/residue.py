@@ -1,13 +1,19 @@
 """Template residue, filler text and error messages in titles and descriptions.
 
-A field is cut into passages: spans that look like template code, and sentences. Passages of records that are certainly residue
-(TRUSTED: template syntax, filler, well-known error and script notices) are the positives; all other passages are unlabelled. A naive
-Bayes model of the two classes is learnt by expectation-maximization on a bounded sample of fields, so that wording which only occurs
-together with trusted residue is learnt too, and wording which occurs in real content counts against it. Every passage of every
-field is then scored, and a field is residue if its best passage is.
-
-Fitting reads at most SAMPLE_FIELDS fields and TRUSTED_FIELDS trusted ones (chosen by a hash of the text, so the same ones whatever
-the partitioning); scoring covers all fields whole.
+A field is cut into passages: spans that look like template code, and sentences. Passages with well-known wording (KINDS) are trusted
+positives, all others are unlabelled. A naive Bayes model of the two classes is learnt from them by expectation-maximization:
+
+* a first model takes all unlabelled passages as real, and some of the positives as spies among them. Unlabelled passages that score
+  below nearly all spies, and far below even odds, are reliable real content and stay so;
+* the other unlabelled passages get a share in both classes by the model, and the model is learnt again from the shares, until
+  they stay. So wording that only goes along with trusted residue, and wording that goes along with that, becomes residue too.
+
+Every passage of every field is scored by the model alone, trusted wording or not, and the passages of a field are aggregated: a field is
+residue if it is more likely than not that at least one of its passages is.
+
+The model is fitted on bounded samples: SAMPLE_ROWS rows of each stratum (titles, short and long descriptions), drawn by hash, and the
+TRUSTED_FIELDS most frequent texts with trusted wording, which are looked for in all rows. Shares of the classes are weighted to the
+whole table, so the model doesn't depend on its size. Scoring covers all fields whole.
 """
 
 from __future__ import annotations
@@ -24,228 +30,280 @@ from pyspark.sql import functions as F
 
 from evenfall.llm import furniture
 
-#: Fields that the model is fitted on, at most: of all, and of those with trusted residue.
-SAMPLE_FIELDS = 12_000
-TRUSTED_FIELDS = 6_000
-#: Fields, drawn by hash, that are looked through for trusted ones.
-TRUSTED_LOOKS = 150_000
-ROUNDS = 6
-#: Share of an unlabelled passage that may go over to the positives, so that trusted ones keep defining the class.
-UNLABELLED_WEIGHT = 0.003
-#: Weight of the words of all passages in a class's word shares.
-PRIOR_WEIGHT = 20.0
-#: Most that one word may speak for residue, and the shape of a span.
-MOST_ODDS, MOST_SPAN_ODDS = 5.0, 6.0
-#: How often each line of the page furniture lexicon counts as real content.
-FURNITURE_WEIGHT = 9.0
+#: Rows that each stratum is represented by, at most, and distinct texts with trusted wording, at most.
+SAMPLE_ROWS, TRUSTED_FIELDS = 8_000, 6_000
+#: Descriptions of at most so many characters are a stratum of their own. Only the sample depends on it.
+SHORT = 200
+ROUNDS = 12
+#: Share of the positives that are spies, the quantile of their scores below which an unlabelled passage is reliably real, and the log
+#: odds that it must be below besides.
+SPIES, QUANTILE, SURELY_REAL = 0.15, 0.05, -10.0
+#: Weight of the shares of words among all passages in a class's shares of words.
+PRIOR_WEIGHT = 50.0
+#: Most that one feature may speak for residue.
+MOST_ODDS = 6.5
+#: Words that occur less often in the sample are taken by their kind.
+LEAST = 3
+#: Fields that trusted texts are counted per.
+RATE = 500_000
 
 # Syntax of template languages, mail merges and formatting.
 SPAN = re.compile(
     r"\{\{\{?[^{}]*\}?\}\}|\{%.*?%\}|<%.*?%>|\$\{[^{}]*\}|#\{[^{}]*\}|%\(\w+\)[a-z]|%[A-Z][A-Z_]+%|\*\|[^|]*\|\*|@@\w+@@|\[\[[^\[\]]*\]\]|\[[^\[\]\n]{1,60}\]|\{[^{}\n]{0,40}\}"
     r"|\b__\w+?__\b|&lt;/?\w+&gt;|<\w+>|(?<![\w:]):[a-z_]+:[a-z_]+\b|(?<![\w:/]):[a-z]+_[a-z_]+\b|\b(?:undefined|NaN)\b|(?<!\w)null(?!\w)|\[object \w+\]"
 )
-_TRUSTED_SPAN = re.compile(
-    r"\{\{\{?\s*[\w.]*\s*\}?\}\}|\{%.*?%\}|<%.*?%>|\$\{[\w.]*\}|#\{[\w.]*\}|%\(\w+\)[a-z]|%[A-Z][A-Z_]+%|\*\|[A-Z_]+\|\*|@@\w+@@|\[\[\w+\]\]|\[(?:YOUR|[Yy]our|[Ii]nsert|INSERT) [^\]]*\]|\{\d\}|\{(?:[a-z]+_[a-z]+|title|name|date|time|city|venue|artist|price|url|link|organizer|speaker|category|headline|summary|event|location|address|description|image|start|end|email|user|id)\}|__[A-Z_]+__|&lt;\w+&gt;|:[a-z_]+:[a-z_]+|\bundefined\b|\bNaN\b|\[object \w+\]"
-)
-# Openings of well-known filler, error, script and browser-check texts.
-TRUSTED = re.compile(
-    r"^\W*(?:lorem ipsum \w+ \w+ \w+|(?:lorem|ipsum|dolor|amet)(?: (?:lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|tempor|incididunt|labore|magna|aliqua|veniam|nostrud|ullamco|laboris|nisi|commodo)){3,}"
-    r"|null$|none$|undefined$|nan$|loading(?:…|\.\.\.)?$|untitled$|text(?: text){2,}|(?:test ?){2,}"
-    r"|(?:http )?(?:error )?[45]\d\d\W*(?:\([\w ]+\))?$|(?:http |error )[45]\d\d\b|[45]\d\d\W+(?:not found|forbidden|unavailable|server error|timeout|gone|bad gateway|service unavailable|gateway|the page|unauthorized|internal)"
-    r"|(?:(?:oops|whoops|sorry|hmm|error|uh-?oh|we.re sorry|we are sorry|unfortunately)\b[\s,!:.…-]*)?(?:(?:the|this|that|your)\s+)?(?:requested\s+|calendar\s+)?(?:page|event|link|address|content|entry|file|url|site|website) (?:you (?:asked for|requested|are looking for)|that you\w*)?\s*(?:was |is |could |can |does |has )?(?:not (?:be )?(?:found|exist|loaded)|been (?:moved|removed|deleted)|moved or deleted|no longer (?:exists|available)|returned an error|timed out|failed to load|(?:is )?(?:missing|broken|down\b|not available|unavailable))|(?:oops|whoops)!.{0,40}(?:page|find|wrong)|you (?:are not|aren.t) (?:allowed|authori[sz]ed)|just a (?:second|moment)|one moment|please wait"
-    r"|access denied|forbidden$|permission denied|bad gateway|bad request|internal server error|service (?:temporarily )?unavailable|too many requests|fatal error:|traceback\b|session expired|your session has|(?:we are|we.re) sorry, your session|there was a critical error|gateway time-?out"
-    r"|(?:seite|página|page) (?:nicht gefunden|no encontrada|non trouvée|introuvable)"
-    r"|.{0,60}(?:enable|activate|turn|allow|aktivieren|activar?|activado|requires?|requiere|needs?|benötigt|necesita)\b.{0,20}javascript|.{0,50}javascript (?:is )?(?:required|disabled|on\b|activado|aktiviert)|.{0,60}(?:run scripts|scripts must be allowed|script blocker)|checking your browser|.{0,30}verifying (?:that )?(?:your browser|you are)|are you a (?:human|robot)|.{0,20}your browser is out of date"
-    r"|(?:sample|demo|dummy|placeholder) (?:description|text|event|show|post|page|copy|content|title)\b|(?:this is|here is) (?:a |an )?(?:sample|demo|dummy|placeholder|example)|your [\w ]{2,25}(?:goes |comes )?here$|add a (?:short )?description|click (?:here )?(?:edit )?to (?:edit|change)|hier steht (?:ein )?(?:beispiel|platzhalter|blind)|escribe aquí|escriba aquí|saisissez|insert (?:title|text|name|description))",
-    re.IGNORECASE,
-)
-_PLAIN = re.compile(r"\w+")
+# Trusted wording by kind; of spans anywhere, of a whole field, and of the beginning of a sentence.
+SYNTAX = r"\{\{.*?\}\}|\{%.*?%\}|<%.*?%>|\$\{\w[\w.]*\}|#\{\w[\w.]*\}|%\(\w+\)s|%[A-Z_]{3,}%|\*\|[A-Z_]+\|\*|@@\w+@@|\[\[\w+\]\]|__[A-Z_]{3,}__|&lt;\w+&gt;|\{\d\}|\[object \w+\]"
+WHOLE = r"undefined|null|NaN|None|Loading(?:…|\.\.\.)|Forbidden"
+KINDS = {
+    "filler": r"lorem ipsum \w+",
+    "status": r"(?:http |error )?[45]\d\d\W*(?:not found|forbidden|unauthorized|bad gateway|(?:service )?unavailable|server error|gone|timeout)|error [45]\d\d",
+    "page": r"(?:\w+[,!:] )?(?:(?:this|that|the) )?(?:page|address|link|seite|página) (?:\w+ ){0,5}(?:not (?:be )?found|no longer exists|nicht gefunden|no encontrada)",
+    "access": r"access denied",
+    "script": r"(?:[\w,]+ ){0,8}(?:enable|activate|turn on|allow|aktivieren sie|requiere) javascript",
+    "browser": r"(?:checking your browser|just a (?:second|moment))",
+    "prompt": r"(?:your (?:\w+ ){1,4}(?:goes )?here|(?:insert|enter) (?:\w+ ){1,4}here|escribe aquí|hier steht ein beispieltext|(?:sample|demo) (?:event|page|show|post|text|description))",
+}
+_SYNTAX = re.compile(SYNTAX)
+_WHOLE = re.compile(WHOLE)
+_SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")
+_SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _WORD = re.compile(r"[^\W\d_]+|\d+|[#@%!?…]")
-_HTTP = re.compile(r"(?<!\d)[45]\d\d(?!\d)")
+_PLAIN = re.compile(r"[^\W\d_]+|[#@%!?…]")
+_SPOKEN = re.compile(r"[^\W\d_]")
 
+Model = tuple[dict[str, float], float]
 
-_SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")
 
+def trusted_wording(kinds: dict[str, str] = KINDS) -> re.Pattern:
+    """The beginnings of sentences of these kinds."""
+    return re.compile(r"\W*(?:" + "|".join(kinds.values()) + r")\b", re.IGNORECASE)
 
-def is_furniture(line: str) -> bool:
-    """Page furniture is a real part of a page, whatever words it shares with notices."""
-    return len(line) < 300 and not _TRUSTED_SPAN.search(line) and not TRUSTED.match(line) and furniture.reads_like(line)
 
+def jvm_wording(kinds: dict[str, str] = KINDS) -> str:
+    """The same, and trusted spans and whole fields, as an expression that finds them in a text in the JVM."""
+    return rf"{SYNTAX}|^\s*(?:{WHOLE})\s*$|(?iU:(?:^|[.!?…\n]\s*)[^\p{{L}}\p{{N}}_]*(?:{'|'.join(kinds.values())})\b)"
 
-def sentences_of(line: str) -> list[str]:
-    return line.replace("! ", ". ").replace("? ", ". ").replace("… ", ". ").split(". ")
 
+def span_features(span: str) -> tuple[str, ...]:
+    """The span's shape, in which each run of words is one letter, and its words."""
+    shape = re.sub(r"\w+(?:[\s.'’-]+\w+)*", lambda m: "A" if m[0].isupper() else "9" if m[0].isdigit() else "a_" if "_" in m[0] else "a" if m[0].islower() else "Aa", span)
+    return tuple(dict.fromkeys(("S:" + "".join(shape.split()), *(w.lower() for w in re.findall(r"[^\W\d_]+", span)))))
 
-def lines_of(text: str) -> list[tuple[str, list[str], list[str]]]:
-    """Every line with the spans in it that look like template code, and the sentences around them."""
+
+def sentence_features(sentence: str, place: str) -> tuple[str, ...]:
+    """Distinct words, those with a capital marked until it is known whether they are rare, and the place of the sentence."""
     out = []
-    special = _SPECIAL.search(text)
-    for line in text.split("\n"):
-        spans = [m[0] for m in SPAN.finditer(line)] if special else []
-        out.append((line, spans, sentences_of(SPAN.sub(" ", line) if spans else line)))
-    return out
+    for w in _WORD.findall(sentence):
+        if w.isdigit():
+            out.append("#http" if w[0] in "45" and len(w) == 3 else "#num")
+        else:
+            out.append(w.lower() + "\0" if w[0].isupper() else w)
+    return (*dict.fromkeys(out), place)
 
 
-def span_features(span: str) -> tuple[str, ...]:
-    inner = [w.lower() for w in re.findall(r"[^\W\d_]+", span)]
-    shape = re.sub(r"[^\W\d_]+(?:[\s._'’-]+[^\W\d_]+)*", lambda w: "W" if w[0].isupper() else "Ww" if w[0][0].isupper() else "w_w" if "_" in w[0] else "w", re.sub(r"\d+", "9", span)).replace(" ", "")
-    return ("S:" + shape[:12], *[f"I:{w}" for w in inner[:6]])
+def cut_up(text: str, title: bool) -> tuple[list[str], list[str], str]:
+    """Spans, sentences and the place of the sentences: a title, or one of one, few or many in a description. Page furniture is left out."""
+    special = _SPECIAL.search(text)
+    spans: list[str] = []
+    sentences: list[str] = []
+    for line in text.split("\n"):
+        here = [m[0] for m in SPAN.finditer(line)] if special else []
+        if furniture.reads_like(line) and not (here and _SYNTAX.search(line)):
+            continue
+        if here:
+            spans += here
+            line = SPAN.sub(" ", line)
+        if line.strip():
+            sentences += [x for x in _SENTENCE.split(line) if _SPOKEN.search(x) or any(c.isdigit() for c in x)]
+    n = len(sentences)
+    return spans, sentences, "F:title" if title else "F:one" if n == 1 else "F:few" if n <= 3 else "F:many"
 
 
-def place_of(text: str, title: bool) -> tuple[str, ...]:
-    return ("F:title",) if title else ("F:short",) if len(text) < 120 else ()
+def passages(text: str, title: bool, wording: re.Pattern) -> list[tuple[tuple[str, ...], bool]]:
+    """The features of every passage, and whether it is trusted. A field of few sentences that opens with trusted wording is trusted whole."""
+    spans, sentences, place = cut_up(text, title)
+    whole = bool(_WHOLE.fullmatch(text.strip())) or len(sentences) <= 3 and not spans and bool(wording.match(text))
+    out = [(span_features(x), whole or bool(_SYNTAX.fullmatch(x))) for x in spans]
+    return out + [(sentence_features(x, place), whole or bool(wording.match(x))) for x in sentences]
 
 
-def sentence_features(sentence: str, place: tuple[str, ...] = ()) -> tuple[str, ...]:
-    words = [("#http" if w[0] in "45" and len(w) == 3 else "#num") if w.isdigit() else w for w in _WORD.findall(sentence.lower().replace("lorem ipsum", "loremipsum"))]  # two words that say one thing
-    return (*dict.fromkeys(words), *place) if words else ()
+def resolved(features: tuple[str, ...], known) -> list[str]:
+    """Features of the vocabulary; rare words and shapes stand by their kind."""
+    out = []
+    new, New = ("S:new", "S:new") if features[0][:2] == "S:" else ("#new", "#New")
+    for w in features:
+        base = w[:-1] if w[-1:] == "\0" else w
+        out.append(base if base in known or base[:2] == "F:" else "S:?" if base[:2] == "S:" else New if base is not w else new)
+    return list(dict.fromkeys(out))
 
 
-def passages(text: str, title: bool = False) -> list[tuple[tuple[str, ...], bool]]:
-    """The features of every passage (spans of template code, and sentences without them), and whether it is trusted residue.
+def fit(fields: list[tuple[str, bool, float, float]], *, kinds: dict[str, str] = KINDS, rounds: int = ROUNDS) -> Model:
+    """(log odds by feature, prior log odds) from fields (text, is title, how many rows of the table it stands for, its rate if trusted).
 
-    All passages of a short field that is residue as a whole are trusted, else the spans and sentences that are themselves. Furniture
-    has no passages.
+    With rounds 0 the model is the first one with reliable real content, without expectation-maximization.
     """
-    whole = len(text) < 160 and bool(TRUSTED.match(text))
-    place = place_of(text, title)
-    out: list[tuple[tuple[str, ...], bool]] = []
-    for line, spans, sentences in lines_of(text):
-        if not whole and is_furniture(line):
-            continue
-        out += [(span_features(x), whole or bool(_TRUSTED_SPAN.fullmatch(x))) for x in spans]
-        out += [(f, whole or bool(TRUSTED.match(x.strip()))) for x in sentences if (f := sentence_features(x, place))]
-    return out
-
-
-def is_trusted(text: str) -> bool:
-    return bool(_SPECIAL.search(text) and _TRUSTED_SPAN.search(text) or len(text) < 200 and TRUSTED.match(text))
-
-
-def fit(fields: list[tuple[str, bool]]) -> tuple[dict[str, float], float, float]:
-    """(log odds of features that speak for residue, log odds of any other feature, prior log odds)."""
-    vocabulary: dict[str, int] = {}
-    rows: dict[tuple[str, ...], bool] = {}
-    times: dict[tuple[str, ...], float] = {}
-    for t, title in fields:
-        for x, ok in passages(t, title):
-            rows[x] = rows.get(x, False) or ok
-            times[x] = times.get(x, 0.0) + 1
-    for x in furniture.LEXICON:
-        f = sentence_features(x)
-        if not rows.setdefault(f, False):
-            times[f] = times.get(f, 0.0) + FURNITURE_WEIGHT
-    if not rows or not any(rows.values()):
-        return {}, -1.0, -20.0
-    index, start = [], []
-    for x in rows:
+    wording = trusted_wording(kinds)
+    known: dict[tuple[str, ...], bool] = {}
+    often: dict[tuple[str, ...], float] = {}
+    stands: dict[tuple[str, ...], float] = {}
+    for text, title, rows, rate in fields:
+        for x, ok in passages(text, title, wording):
+            known[x] = known.get(x, False) or ok
+            often[x] = often.get(x, 0.0) + (max(1.0, rate) if ok else 1.0)
+            stands[x] = stands.get(x, 0.0) + rows
+    if not known or not any(known.values()):
+        return {}, -50.0
+    frequency: dict[str, float] = {}
+    for x in known:
+        for w in {w.rstrip("\0") for w in x}:
+            frequency[w] = frequency.get(w, 0) + often[x]
+    vocabulary = {w for w, n in frequency.items() if n >= LEAST or w[:2] == "S:"}
+    index: list[int] = []
+    start: list[int] = []
+    number: dict[str, int] = {}
+    for x in known:
         start.append(len(index))
-        index.extend(vocabulary.setdefault(w, len(vocabulary)) for w in x)
-    index, start = np.array(index), np.array(start)
-    lengths = np.diff(np.append(start, len(index)))
-    known = np.array(list(rows.values()))
-    often = np.sqrt(np.array([times[x] for x in rows]))  # a passage that many records share is less than as many passages
-    p = known.astype(float)
-    pos = neg = np.zeros(len(vocabulary))
-    everything = np.bincount(index, weights=np.repeat(often, lengths), minlength=len(vocabulary))
-    sure = np.bincount(index, weights=np.repeat(p, lengths), minlength=len(vocabulary)) > 0
-    background = everything / everything.sum()
-    log_odds, prior = np.zeros(len(vocabulary)), 0.0
-    most = np.where([w.startswith("S:") for w in vocabulary], MOST_SPAN_ODDS, MOST_ODDS)
-    for _ in range(ROUNDS):
-        pos = np.bincount(index, weights=np.repeat(often * np.where(known, 1.0, UNLABELLED_WEIGHT * p), lengths), minlength=len(vocabulary))
-        neg = np.bincount(index, weights=np.repeat(often * np.where(known, 0.0, 1 - UNLABELLED_WEIGHT * p), lengths), minlength=len(vocabulary))
-        share = min(p.mean(), 2 * known.mean())
-        log_pos = np.log((pos + PRIOR_WEIGHT * background) / (pos.sum() + PRIOR_WEIGHT))
-        log_neg = np.log((neg + PRIOR_WEIGHT * background) / (neg.sum() + PRIOR_WEIGHT))
-        log_odds, prior = np.minimum(log_pos - log_neg, np.where(sure, most, -1.0)), math.log(share / (1 - share)) if 0 < share < 1 else 0.0
-        scores = np.add.reduceat(log_odds[index], start) + prior
-        p = np.where(known, 1.0, 1 / (1 + np.exp(-np.clip(scores, -50, 50))))
-    other = math.log(PRIOR_WEIGHT / (pos.sum() + PRIOR_WEIGHT))  # as a word that has been seen in real content only
-    names = list(vocabulary)
-    return {names[i]: float(log_odds[i]) for i in np.flatnonzero(np.abs(log_odds - other) > 0.2)}, other, prior
+        index += [number.setdefault(w, len(number)) for w in resolved(x, vocabulary)]
+    at, start_ = np.array(index), np.array(start)
+    length = np.diff(np.append(start_, len(at)))
+    sure = np.array(list(known.values()))
+    weight = np.sqrt(np.array(list(often.values())))  # a passage that many records share is less than as many passages
+    size = np.array(list(stands.values()))
+    background = np.bincount(at, weights=np.repeat(weight, length), minlength=len(number)) + 0.05
+    background /= background.sum()
+
+    def learnt(p: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, float]:
+        pos, neg = (np.bincount(at, weights=np.repeat(among * weight * w, length), minlength=len(number)) for w in (p, 1 - p))
+        # both classes are mixed with the words of all passages by the same share, so what neither has seen speaks for neither
+        mixed = PRIOR_WEIGHT / (pos.sum() + PRIOR_WEIGHT)
+        logs = [np.log((1 - mixed) * n / max(n.sum(), 1e-9) + mixed * background) for n in (pos, neg)]
+        share = min(0.5, max(1e-9, float((among * size * p).sum() / size.sum())))
+        return np.minimum(logs[0] - logs[1], MOST_ODDS), math.log(share / (1 - share))
+
+    def scores(odds: np.ndarray, prior: float) -> np.ndarray:
+        return np.add.reduceat(odds[at], start_) + prior
+
+    everything = np.ones(len(sure))
+    spies = sure & (np.random.default_rng(0).random(len(sure)) < SPIES)
+    first = scores(*learnt((sure & ~spies).astype(float), everything))
+    limit = min(SURELY_REAL, float(np.quantile(first[spies], QUANTILE))) if spies.any() else SURELY_REAL
+    real = ~sure & (first < limit)
+    p = sure.astype(float)
+    odds, prior = learnt(p, (sure | real).astype(float))
+    for _ in range(rounds):
+        old = p
+        p = np.where(sure, 1.0, np.where(real, 0.0, 1 / (1 + np.exp(-np.clip(scores(odds, prior), -50, 50)))))
+        odds, prior = learnt(p, everything)
+        if np.abs(p - old).max() < 1e-3:
+            break
+    out = {w: float(odds[i]) for w, i in number.items()}
+    for w in ("#new", "#New", "S:new", "S:?"):
+        out.setdefault(w, 0.0)
+    return out, prior
 
 
 class Scorer:
-    def __init__(self, model: tuple[dict[str, float], float, float]) -> None:
-        self.odds, self.other, self.prior = model
-        #: Without one of these no sentence can be residue.
-        self.strong = frozenset(w for w, x in self.odds.items() if x > 0.7 and w[0] != "#" and w[1:2] != ":")
+    """Log odds that fields are residue."""
+
+    #: Passages with lower log odds can't matter.
+    FLOOR = -12.0
+
+    def __init__(self, model: Model) -> None:
+        self.odds, self.prior = model
+        self.new, self.New = self.odds.get("#new", 0.0), self.odds.get("#New", 0.0)
+        #: Words that speak for residue at all; a sentence without any is below the floor unless rare words or its place speak for it.
+        self.speaks = frozenset(w for w, x in self.odds.items() if x > 0 and w[0] != "#" and w[1:2] != ":") | frozenset(w for w in "#@%!?…" if self.odds.get(w, 0.0) > 0)
+        self.figures = max(self.odds.get("#http", 0.0), self.odds.get("#num", 0.0)) > 0
+        self.quick = {x: max(self.new, self.New) <= 0 and self.prior + self.odds.get(x, 0.0) < -2 for x in ("F:title", "F:one", "F:few", "F:many")}
         self.score = lru_cache(20_000)(self._score)
+        self.of_span = lru_cache(5_000)(lambda x: self._of(span_features(x)))
 
     def _of(self, features: tuple[str, ...]) -> float:
-        return self.prior + sum(self.odds.get(w, self.other) for w in features)
+        return self.prior + sum(self.odds.get(w, 0.0) for w in resolved(features, self.odds))
+
+    def _sentence(self, sentence: str, place: str) -> float:
+        get, seen, total = self.odds.get, set(), self.prior + self.odds.get(place, 0.0)
+        for w in _WORD.findall(sentence):
+            if w.isdigit():
+                k = "#http" if w[0] in "45" and len(w) == 3 else "#num"
+            else:
+                k = w.lower()
+                if k not in self.odds:
+                    k = "#New" if w[0].isupper() else "#new"
+            if k not in seen:
+                seen.add(k)
+                total += get(k, 0.0)
+        return total
 
     def _score(self, text: str, title: bool) -> float:
-        """Log odds of the field's best passage that is no furniture; -50 without any."""
-        best = -50.0
-        place = place_of(text, title)
-        strong, http = self.strong, _HTTP.search(text) is not None
-        for line, spans, sentences in lines_of(text):
-            here = max((self._of(span_features(x)) for x in spans), default=-50.0)
-            for x in sentences:
-                # a look at the plain words first: most sentences have none that speaks for residue
-                low = x.lower()
-                if strong.isdisjoint(_PLAIN.findall(low)) and not (http or "!" in x or "…" in x or "lorem ipsum" in low):
-                    continue
-                f = sentence_features(x, place)
-                if f:
-                    here = max(here, self._of(f))
-            if here > best and (here <= 0 or not is_furniture(line)):
-                best = here
-        return best
-
-
-def learn(fields: DataFrame) -> tuple[dict[str, float], float, float]:
-    """The model from a bounded sample of fields (columns field_name, text)."""
-    n = fields.count()
-    texts = fields.select("text", "field_name")
-    trusted = F.pandas_udf(_trusted_batch, "boolean")
-
-    def drawn(seed: int, size: int) -> DataFrame:
-        """About so many fields, chosen by the hash of their text."""
-        return texts.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) < F.lit(int(1e6 * min(1.0, size / max(n, 1))) + 1))
-
-    def first(some: DataFrame, most: int) -> DataFrame:
-        """Distinct fields, at most so many; a text that many records share counts once."""
-        return some.distinct().orderBy(F.xxhash64("text", F.lit(2)), "field_name").limit(most)
-
-    rows = first(drawn(0, SAMPLE_FIELDS), 2 * SAMPLE_FIELDS).union(first(drawn(1, TRUSTED_LOOKS).where(trusted("text")), TRUSTED_FIELDS)).distinct().collect()
-    return fit(sorted((r["text"], r["field_name"] == "title") for r in rows))
-
-
-def _trusted_batch(text: pd.Series) -> pd.Series:
-    return pd.Series([is_trusted(t) for t in text], dtype=bool)
+        """Log odds that at least one passage is residue; -50 if none can be."""
+        spans, sentences, place = cut_up(text, title)
+        none = 0.0  # the negative log of the chance that no passage is
+        quick = self.quick[place]
+        for s in [self.of_span(x) for x in spans] + [
+            self._sentence(x, place) for x in sentences if not quick or not self.speaks.isdisjoint(_PLAIN.findall(x.lower())) or (self.figures and any(map(str.isdigit, x)))
+        ]:
+            if s > self.FLOOR:
+                none += math.log1p(math.exp(min(s, 50.0)))
+        if none <= 0:
+            return -50.0
+        return none if none > 30 else math.log(math.expm1(none))
+
+
+def learn(fields: DataFrame, *, kinds: dict[str, str] = KINDS, rounds: int = ROUNDS) -> Model:
+    """The model from bounded samples of fields (columns event_id, field_name, text)."""
+    stratum = F.when(F.col("field_name") == "title", F.lit("title")).when(F.length("text") <= SHORT, F.lit("short")).otherwise(F.lit("long"))
+    f = fields.withColumn("stratum", stratum)
+    sizes = {r["stratum"]: r["n"] for r in f.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return {}, -50.0
+    # a row is drawn by its own hash, so the same ones are, however the table is partitioned
+    draw = F.pmod(F.xxhash64("event_id", "field_name"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    share = F.create_map(*[x for s, n in sizes.items() for x in (F.lit(s), F.lit(min(1.0, SAMPLE_ROWS / n)))])
+    drawn = f.where(draw < share[F.col("stratum")]).select("stratum", "text").limit(4 * SAMPLE_ROWS).collect()
+    taken = {s: sum(r["stratum"] == s for r in drawn) for s in sizes}
+    found = f.where(F.col("text").rlike(jvm_wording(kinds))).groupBy("field_name", "text").agg(F.count(F.lit(1)).alias("n"))
+    found = found.orderBy(F.desc("n"), F.xxhash64("text"), "field_name").limit(TRUSTED_FIELDS).collect()
+    total = sum(sizes.values())
+    rows: dict[tuple[str, bool], tuple[float, float]] = {}
+    for r in drawn:
+        k = (r["text"], r["stratum"] == "title")
+        rows[k] = (rows.get(k, (0.0, 0.0))[0] + sizes[r["stratum"]] / taken[r["stratum"]], 0.0)
+    for r in found:
+        rows[r["text"], r["field_name"] == "title"] = (float(r["n"]), r["n"] * RATE / max(total, RATE))
+    return fit(sorted((t, title, n, rate) for (t, title), (n, rate) in rows.items()), kinds=kinds, rounds=rounds)
 
 
 _SCORERS: dict[str, Scorer] = {}
 
 
-def scored(fields: DataFrame, model: tuple[dict[str, float], float, float]) -> DataFrame:
+def _scorer(key: str, model) -> Scorer:
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(model.value)
+    return _SCORERS[key]
+
+
+def scored(fields: DataFrame, model: Model) -> DataFrame:
     """Adds score, the log odds that the column text (a title where field_name says so) is residue."""
     sent = fields.sparkSession.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
 
     def score(text: pd.Series, name: pd.Series) -> pd.Series:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(sent.value)
-        s = _SCORERS[key].score
+        s = _scorer(key, sent).score
         return pd.Series([s(t, n == "title") for t, n in zip(text, name)], dtype=float)
 
     return fields.withColumn("score", F.pandas_udf(score, "double")("text", "field_name"))
 
 
-def scored_rows(events: DataFrame, model: tuple[dict[str, float], float, float]) -> DataFrame:
+def scored_rows(events: DataFrame, model: Model) -> DataFrame:
     """Adds score, the greater one of a row's title and description; both in one go."""
     sent = events.sparkSession.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
 
     def score(title: pd.Series, description: pd.Series) -> pd.Series:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(sent.value)
-        s = _SCORERS[key].score
+        s = _scorer(key, sent).score
         return pd.Series([max(s(t, True) if t else -50.0, s(d, False) if d else -50.0) for t, d in zip(title, description)], dtype=float)
 
     return events.withColumn("score", F.pandas_udf(score, "double")("title", "description"))
@@ -257,7 +315,7 @@ def fields_of(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.explode(pairs).alias("f")).select("event_id", "f.field_name", "f.text").where("text IS NOT NULL AND text != ''")
 
 
-def residue_fields(events: DataFrame, model: tuple | None = None) -> DataFrame:
+def residue_fields(events: DataFrame, model: Model | None = None) -> DataFrame:
     """(event_id, field_name) of the titles and descriptions that are residue, wholly or in part.
 
     Null and empty fields have no row. Without any trusted residue in the table nothing is found. Repeated event rows each count.

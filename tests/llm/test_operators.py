@@ -105,17 +105,71 @@ def test_furniture():
         assert not furniture.reads_like(body)
 
 
+def residue_sample():
+    """(real, residue) fields: titles and descriptions of made-up events, and error messages."""
+    r = random.Random(11)
+    things = "lanterns quilts maps drums herbs pickles murals kites clocks radios ferries moths otters willows tides cheese".split()
+    people = "bakers poets weavers sailors teachers singers children neighbors students printers".split()
+    forms = (
+        "The {p} of the old harbor show {t} and {u} in the main hall.", "Doors open early so that {p} can look at the {t} in peace.", "A short talk on {t} is followed by songs about {u}.", "Bring {t} to swap with other {p} after the break.",
+        "Half of the proceeds help {p} repair the {t}.", "Two {p} met at a market for {t} and have played together ever since.", "Tickets are cheap for {p}, and the {t} are free.",
+    )
+    say = lambda: r.choice(forms).format(p=r.choice(people), t=r.choice(things), u=r.choice(things))
+    real = [(f"{r.choice(things)} and {r.choice(things)} for {r.choice(people)}".capitalize(), True) for _ in range(600)] + [(" ".join(say() for _ in range(r.randint(1, 8))), False) for _ in range(800)]
+    # each kind shares some words with the one before it only; the first has trusted wording
+    chain = (
+        ("Sorry, the page", ("could not be found", "cannot be shown anymore")), ("Hmm, that link", ("cannot be shown anymore", "timed out after 30 seconds")),
+        ("Whoops! This listing", ("timed out after 90 seconds", "returned a wrong answer")), ("Yikes, your calendar entry", ("returned a wrong answer", "was moved or deleted")),
+    )
+    bad = [(f"{a} {b}{c}", False) for a, bs in chain for b in bs for c in (".", "!", *(f" ({r.choice('abcdefgh')}{k})." for k in range(8)))]
+    return real, bad
+
+
+def residue_found(kinds=residue.KINDS, **more):
+    real, bad = residue_sample()
+    wording = residue.trusted_wording(kinds)
+    model = residue.fit([(t, x, 1.0, 1.0 if wording.match(t) else 0.0) for t, x in sorted({*real, *bad})], kinds=kinds, **more)
+    score = residue.Scorer(model).score
+    return {f for f in bad if score(*f) > 0}, {f for f in real if score(*f) > 0}, set(bad)
+
+
+def test_residue_is_learnt_by_expectation_maximization():
+    with_em, wrong, bad = residue_found()
+    without, _, _ = residue_found(rounds=0)
+    assert len(with_em) > 0.95 * len(bad) and not wrong
+    assert len(without) < 0.9 * len(with_em)
+
+
+@pytest.mark.parametrize("kind", ["Hmm", "Whoops", "Yikes"])
+def test_residue_of_a_kind_that_is_not_trusted(kind):
+    found, wrong, bad = residue_found({"page": r"sorry, the page could not be found"})
+    mine = {f for f in bad if f[0].startswith(kind)}
+    assert len(found & mine) >= 0.8 * len(mine) and not wrong
+
+
 def test_residue(spark):
-    real = [f"Songs from album {i} and stories about the sea, told by {n} friends in the old hall. Bring a chair." for i, n in enumerate(range(2, 60))]
-    bad = ["{{title}}", "Lorem ipsum dolor sit amet, consectetur.", "Error 404", "You need to enable JavaScript to run this app.", "Songs from {{venue}} and stories.", "Access denied. You do not have permission.", "undefined"]
+    real, bad = residue_sample()
+    more = ["{{title}}", "Lorem ipsum dolor sit amet, consectetur.", "Error 404", "Checking your browser before you continue.", "Songs from {{venue}} and stories.", "Access denied. You do not have permission.", "undefined"]
     traps = ["Meet in room 404, next to the [closed] cafeteria, for songs and stories.", "The piece is titled \"Page Not Found\" and made of old stories from the sea."]
-    rows = [(i, t, None) for i, t in enumerate(real + bad + traps)] + [(998, None, ""), (999, None, None)]
+    prose = [t for t, x in real if not x]
+    traps = [f"{a} {t} {b}" for t in traps for a, b in zip(prose[:20], prose[20:40])]
+    texts = [t for t, _ in real] + traps + [t for t, _ in bad] + more
+    rows = [(i, t if i < 600 else None, None if i < 600 else t) for i, t in enumerate(texts)] + [(99_998, None, ""), (99_999, None, None)]
     e = spark.createDataFrame(rows, "event_id long, title string, description string")
     got = {r["event_id"] for r in residue.residue_fields(e).collect()}
-    assert {i + len(real) for i in range(len(bad))} == got
+    n = len(real) + len(traps)
+    assert not got & set(range(n)) and len(got) > 0.95 * (len(texts) - n) and {len(texts) - 7, len(texts) - 3} <= got
     assert residue.residue_fields(e.limit(0)).count() == 0
 
 
+def test_whole_texts_are_scored():
+    real, bad = residue_sample()
+    fields = [*real, *bad, *((f"Songs by {{{{{x}}}}}.", False) for x in ("artist", "venue", "title", "price", "name"))]
+    s = residue.Scorer(residue.fit([(t, x, 1.0, 0.0) for t, x in fields]))
+    long = " ".join(t for t, x in real if not x)
+    assert s.score(long, False) <= 0 < s.score(long + "\nSongs by {{artist}}.", False)
+
+
 def test_near_duplicates_as_brute_force(spark):
     r = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
