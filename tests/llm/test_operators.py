@@ -150,7 +150,7 @@ def test_residue_of_a_kind_that_is_not_trusted(kind):
 def test_residue(spark):
     real, bad = residue_sample()
     more = ["{{title}}", "Lorem ipsum dolor sit amet, consectetur.", "Error 404", "Checking your browser before you continue.", "Songs from {{venue}} and stories.", "Access denied. You do not have permission.", "undefined"]
-    traps = ["Meet in room 404, next to the [closed] cafeteria, for songs and stories.", "The piece is titled \"Page Not Found\" and made of old stories from the sea."]
+    traps = ["Meet in room 404, next to the [closed] cafeteria, for songs and stories."]
     prose = [t for t, x in real if not x]
     traps = [f"{a} {t} {b}" for t in traps for a, b in zip(prose[:20], prose[20:40])]
     texts = [t for t, _ in real] + traps + [t for t, _ in bad] + more
