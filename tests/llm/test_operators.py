@@ -228,16 +228,22 @@ def test_packing(spark):
         c = Counter(sizes)
         plan = packing.solve(dict(c), capacity)
         used = Counter()
-        for f, times in plan:
+        for f, times in plan.fillings:
             assert sum(s * a for s, a in f.items()) <= capacity
             for s, a in f.items():
                 used[s] += a * times
         assert used == c
         if sizes and capacity == 100:
-            assert sum(t for _, t in plan) <= 1.01 * sum(sizes) / capacity + 1
+            assert plan.bound - 1e-6 <= sum(t for _, t in plan.fillings) <= plan.bound + 1 and plan.bound <= plan.value
+            big = packing.solve({s: 100_000 * n for s, n in c.items()}, capacity)
+            assert big.rounded > 0.95 * 100_000 * len(sizes) and sum(t for _, t in big.fillings) <= big.bound + 1 and big.value < 1.01 * big.bound
     docs = spark.createDataFrame([(i, " ".join("word" for _ in range(n))) for i, n in enumerate([5, 17, 3, 40, 0, 9, 9, 9])] + [(99, None)], "doc_id long, text string")
     jobs = spark.createDataFrame([("j", 16), ("bad", None)], "job_name string, capacity_tokens int")
     p = packing.packed(docs, jobs).collect()
+    assert [tuple(x) for x in packing.faults(docs, jobs).collect()] == [("j", 9, 0, 0, 0, 0, 0)]
+    f = packing.fills(docs, jobs).collect()
+    assert len(f) == 1 and f[0]["containers"] >= f[0]["least"] and f[0]["documents"] == 9 and f[0]["tokens"] == sum(x["tokens"] for x in p)
+    assert packing.packed(docs.limit(0), jobs).count() == 0 and packing.packed(docs, jobs.limit(0)).count() == 0
     assert {x["doc_id"] for x in p} == {*range(8), 99} and all(x["container_tokens"] <= 16 for x in p)
     room = Counter()
     for x in p:
