@@ -12,7 +12,7 @@ Every passage of every field is scored by the model alone, trusted wording or no
 residue if it is more likely than not that at least one of its passages is.
 
 The model is fitted on bounded samples: SAMPLE_ROWS rows of each stratum (titles, short and long descriptions), drawn by hash, and the
-TRUSTED_FIELDS most frequent texts with trusted wording, which are looked for in all rows. Shares of the classes are weighted to the
+TRUSTED_FIELDS most frequent texts that open with trusted wording or hold template code, which are looked for in all rows. Shares of the classes are weighted to the
 whole table, so the model doesn't depend on its size. Scoring covers all fields whole.
 """
 
@@ -64,11 +64,6 @@ KINDS = {
     "browser": r"(?:checking your browser|just a (?:second|moment))",
     "prompt": r"(?:your (?:\w+ ){1,4}(?:goes )?here|(?:insert|enter) (?:\w+ ){1,4}here|escribe aquí|hier steht ein beispieltext|(?:sample|demo) (?:event|page|show|post|text|description))",
 }
-#: Every trusted text holds one of these, in lower case where it is not syntax; a quick look before the expression runs.
-HINTS = (
-    "lorem ipsum", "not found", "forbidden", "unauthorized", "bad gateway", "unavailable", "server error", "gone", "timeout", "error 4", "error 5", "not be found", "no longer exists", "nicht gefunden", "no encontrada", "access denied", "javascript", "checking your browser",
-    "just a second", "just a moment", "your ", "insert ", "enter ", "escribe ", "hier steht ", "sample ", "demo ", "undefined", "null", "nan", "none", "loading", "{{", "{%", "<%", "${", "#{", "%(", "*|", "@@", "[[", "__", "&lt;", "[object", "{0}", "{1}", "{2}", "{3}", "{4}", "{5}", "{6}", "{7}", "{8}", "{9}",
-)
 _SYNTAX = re.compile(SYNTAX)
 _WHOLE = re.compile(WHOLE)
 _SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")
@@ -85,9 +80,12 @@ def trusted_wording(kinds: dict[str, str] = KINDS) -> re.Pattern:
     return re.compile(r"\W*(?:" + "|".join(kinds.values()) + r")\b", re.IGNORECASE)
 
 
-def jvm_wording(kinds: dict[str, str] = KINDS) -> str:
-    """The same, and trusted spans and whole fields, as an expression that finds them in a text in the JVM."""
-    return rf"{SYNTAX}|^\s*(?:{WHOLE})\s*$|(?iU:(?:^|[.!?…\n]\s*)[^\p{{L}}\p{{N}}_]*(?:{'|'.join(kinds.values())})\b)"
+def trusted_text(kinds: dict[str, str] = KINDS):
+    """Whether the column text opens with the same, is trusted whole, or holds trusted spans; for the JVM."""
+    text = F.col("text")
+    syntax = text.rlike(rf"(?=[{{<$#%*@\[_&])(?:{SYNTAX})")
+    wording = text.rlike(rf"(?iU:^[^\p{{L}}\p{{N}}_]*(?:{'|'.join(kinds.values())})\b)")
+    return syntax | ((F.length(text) < 20) & F.trim(text).rlike(rf"^(?:{WHOLE})$")) | wording
 
 
 def span_features(span: str) -> tuple[str, ...]:
@@ -268,7 +266,7 @@ def learn(fields: DataFrame, *, kinds: dict[str, str] = KINDS, rounds: int = ROU
     share = F.create_map(*[x for s, n in sizes.items() for x in (F.lit(s), F.lit(min(1.0, SAMPLE_ROWS / n)))])
     drawn = f.where(draw < share[F.col("stratum")]).select("stratum", "text").limit(4 * SAMPLE_ROWS).collect()
     taken = {s: sum(r["stratum"] == s for r in drawn) for s in sizes}
-    found = f.where(F.col("text").rlike(jvm_wording(kinds))).groupBy("field_name", "text").agg(F.count(F.lit(1)).alias("n"))
+    found = f.where(trusted_text(kinds)).groupBy("field_name", "text").agg(F.count(F.lit(1)).alias("n"))
     found = found.orderBy(F.desc("n"), F.xxhash64("text"), "field_name").limit(TRUSTED_FIELDS).collect()
     total = sum(sizes.values())
     rows: dict[tuple[str, bool], tuple[float, float]] = {}
