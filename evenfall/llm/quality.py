@@ -1,33 +1,34 @@
 """Per-document text quality statistics, and documents that are not natural prose.
 
-One pass over the texts gives the statistics. For the decision each statistic is turned to a goodness between 0 and 1 that is 1 for
-all that prose may do, whatever its layout, case or punctuation. Within each language the goodness values are ranked exactly: distinct
-values with their counts are range-partitioned and sorted, each partition is offset by the counts before it. The share of documents that
-are as bad or worse is the empirical tail probability; the negative logarithms of the tails add up to the outlier score. So that junk
-which fills a language can't hide itself, the tail is the least of three: among the documents of the language, among the distinct
-texts of all languages, where copies count once, and the goodness itself.
+One pass over the texts gives the statistics. Each of those that count (WORSE) is ranked as it is, exactly, within each language and, so
+that junk which fills a language can't hide itself, among the distinct texts of all languages, where copies count once: distinct values with their
+counts are range-partitioned and sorted, each partition is offset by the counts before it. The share of documents whose value is
+as bad or worse is the empirical tail probability; the least of the two counts. Negative logarithms of the tails, in standard deviations,
+add up to the outlier score, each weighted by the share that the first principal component of all tails takes of it: statistics that
+go along with the others count for more, and noise for little. Documents beyond the valley between the two classes of
+scores are outliers, if there are two.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from evenfall.llm import furniture
 from evenfall.runtime import cut
 
-#: Outlier score above which a document is no prose: in at least one statistic of which most prose has the best value it is among the
-#: worse 60 % of its language or of all distinct texts, or has less than 60 % of the goodness, or it falls less short in several.
-SCORE = 0.5
-#: Goodness is ranked in steps of one in STEPS, so a language has at most STEPS + 1 values a statistic.
-STEPS = 1000
 LANGUAGES = ("en", "de", "es", "fr")
 #: Stands for all languages together.
 POOL = "all"
+#: Statistics that are ranked, and whether high (1) or low (-1) values are bad.
+WORSE = {"words": -1, "mean_word_length": 1, "symbol_ratio": 1, "digit_ratio": 1, "line_end_ratio": -1, "common_ratio": -1, "sentence_ratio": -1}
+#: Steps that scores are counted in for the threshold, and how low the density between two classes is, compared to the classes.
+SCORE_STEPS, APART = 1000, 0.8
 # What text decoded with the wrong character set is full of.
 _GARBLED = re.compile(r"[ÃÂ][\u0080-¿Œ-Ÿ‚-›€\s]|â‚¬|â€|Ã.|Â|ï¿½|�")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -35,6 +36,8 @@ _TOKEN = re.compile(r"\w+(?:['’]\w+)*")
 #: Neither letter, digit nor white space.
 _MARK = re.compile(r"[^\w\s]|_")
 _END = re.compile(r"[.!?…][\"'”’)\]]*$")
+_DIGIT = re.compile(r"\d+")
+_CLOSING = "\"'”’)]"
 #: Pictures and hashtags behind a text.
 _TAIL = re.compile(r"(?:\s*(?:#\w+|[\u2600-\u27bf\U0001f000-\U0001faff\ufe0f]+))+\s*$")
 _SPLIT = re.compile(r"(?<=[.!?…]),\s+|(?<=[.!?…])[\"'”’)\]]*\s+(?=[^\W\d_a-zß-öø-ÿ]|[a-zß-öø-ÿ]|[\"“¿¡(–-])")
@@ -63,21 +66,15 @@ def is_sentence(unit: str, common: frozenset[str]) -> bool:
     tokens = _TOKEN.findall(unit)
     words = [t for t in tokens if not t[0].isdigit()]
     n = len(words)
-    if n < 4 or len(tokens) - n > 0.2 * len(tokens):
-        return False
-    marks = len(_MARK.findall(unit))
-    if marks > 0.14 * len(unit) or unit.count("\t") > 1 or unit.count("|") > 1 or unit.count(";") > 3 or unit.count("»") > 1:
+    if n < 5 or len(tokens) - n > 0.2 * len(tokens) or unit.count("\t") > 1 or unit.count("|") > 1 or unit.count("»") > 1:
         return False
     known = sum(map(common.__contains__, map(str.lower, words))) / n
-    titled = sum(w[0].isupper() and not w.isupper() for w in words[1:]) / max(1, n - 1)
-    ends = bool(_END.search(unit))
-    if furniture.reads_like(unit):
-        return False
-    if known < 0.12 or list(map(len, words)).count(1) > 0.4 * n:
+    if known < 0.12 or len(_MARK.findall(unit)) > 0.14 * len(unit):
         return False
-    if ends:
-        return n >= 5 and (known >= 0.15 or titled < 0.3) and not (titled > 0.8 and known < 0.2)
-    return (n >= 10 or (n >= 8 and titled < 0.2 and ":" not in unit and len(tokens) == n)) and known >= 0.18 and titled < 0.6 and unit.count(",") < 0.4 * n
+    titled = sum(w[0].isupper() and not w.isupper() for w in words[1:]) / (n - 1)
+    if unit.rstrip(_CLOSING)[-1:] in (".", "!", "?", "…"):
+        return titled < 0.6 or known >= 0.2
+    return n >= 8 and known >= 0.18 and titled < 0.6 and unit.count(",") < 0.4 * n
 
 
 def is_heading(unit: str) -> bool:
@@ -90,10 +87,10 @@ def statistics(text: str | None, common: frozenset[str]) -> tuple:
     t = text or ""
     words = _WORD.findall(t)
     n = len(words)
-    solid = sum(map(len, t.split()))
-    letters = sum(map(len, words))
-    digits = sum(map(str.isdigit, t))
-    lines = [x.strip() for x in t.split("\n") if x.strip()]
+    solid = len("".join(t.split()))
+    letters = len("".join(words))
+    digits = len("".join(_DIGIT.findall(t)))
+    lines = [x for x in map(str.strip, t.split("\n")) if x]
     prose = whole = 0
     for k, u in enumerate(units(t)):
         size = len(u) - u.count(" ")
@@ -107,7 +104,7 @@ def statistics(text: str | None, common: frozenset[str]) -> tuple:
         letters / n if n else 0.0,
         (solid - letters - digits) / solid if solid else 0.0,
         digits / solid if solid else 0.0,
-        sum(bool(_END.search(x)) for x in lines) / len(lines) if lines else 0.0,
+        sum(x.rstrip(_CLOSING)[-1:] in (".", "!", "?", "…") for x in lines) / len(lines) if lines else 0.0,
         sum(map(common.__contains__, map(str.lower, words))) / n if n else 0.0,
         prose / whole if whole else 0.0,
         min(1.0, len(_GARBLED.findall(t)) / n) if n else 0.0,
@@ -117,17 +114,6 @@ def statistics(text: str | None, common: frozenset[str]) -> tuple:
 
 NAMES = ("words", "mean_word_length", "symbol_ratio", "digit_ratio", "line_end_ratio", "common_ratio", "sentence_ratio", "garbled_ratio", "single_ratio")
 _SCHEMA = "words long, " + ", ".join(f"{n} double" for n in NAMES[1:])
-#: Where each statistic is as good as it gets, and where it is at its worst; outside both it stays so.
-GOOD = {
-    "words": (4, 0),
-    "mean_word_length": (9.0, 16.0),
-    "symbol_ratio": (0.16, 0.5),
-    "digit_ratio": (0.15, 0.6),
-    "common_ratio": (0.14, 0.0),
-    "sentence_ratio": (0.7, 0.0),
-    "garbled_ratio": (0.08, 0.5),
-    "single_ratio": (0.35, 0.8),
-}
 
 
 def language(lang: str = "lang"):
@@ -153,12 +139,6 @@ def document_statistics(documents: DataFrame, common_words: DataFrame, *keep) ->
     return d.select(*d.columns[:-1], "s.*")
 
 
-def goodness(name: str):
-    best, worst = GOOD[name]
-    g = (F.col(name).cast("double") - worst) / (best - worst)
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), g)) * STEPS).cast("int")
-
-
 def exact_tails(values: DataFrame) -> DataFrame:
     """language, statistic, value, tail: the share of a language's documents that have this value or a lower one.
 
@@ -171,31 +151,102 @@ def exact_tails(values: DataFrame) -> DataFrame:
     group = Window.partitionBy("language", "statistic")
     before = sums.withColumn("before", F.sum("sum").over(group.orderBy("part")) - F.col("sum")).withColumn("all", F.sum("sum").over(group)).drop("sum")
     running = ranged.withColumn("here", F.sum("n").over(Window.partitionBy("language", "statistic", "part").orderBy("value")))
-    return running.join(before, ["language", "statistic", "part"]).select("language", "statistic", "value", ((F.col("before") + F.col("here")) / F.col("all")).alias("tail"))
+    # a row for every group and partition: as many as partitions and groups together
+    return running.join(F.broadcast(before), ["language", "statistic", "part"]).select("language", "statistic", "value", ((F.col("before") + F.col("here")) / F.col("all")).alias("tail"))
 
 
-def outlier_scores(stats: DataFrame) -> DataFrame:
-    """doc_id, score of the documents that fall short in any statistic; all others have the score 0.
+def tails(stats: DataFrame) -> DataFrame:
+    """doc_id and a column for each statistic that counts: the negative logarithm of its tail.
 
-    stats: as document_statistics gives them, with text_key, which is the same for copies of a text.
+    stats: as document_statistics gives them, with text_key, which is the same for copies of a text. Bad values of all statistics are made
+    low ones; texts without a word are worse than any other in all of them.
+    """
+    none = F.col("words") == 0
+    low = [F.when(none, F.lit(float("-inf"))).otherwise(-g * F.col(n).cast("double")).alias(n) for n, g in WORSE.items()]
+    # texts with the same language and statistics have the same tails, so they are one row with a number
+    rows = cut(stats.select("doc_id", "text_key", "language", *low).withColumn("group", F.xxhash64("language", *WORSE)))
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in WORSE])).alias("p")
+    values = rows.select("language", pairs).select("language", "p.*")
+    pool = rows.dropDuplicates(["text_key"]).select(F.lit(POOL).alias("language"), pairs).select("language", "p.*")
+    t = cut(exact_tails(values.unionByName(pool)))
+    mine = t.where(F.col("language") != POOL).join(t.where(F.col("language") == POOL).select("statistic", "value", F.col("tail").alias("pooled")), ["statistic", "value"])
+    mine = mine.select("language", "statistic", "value", (-F.log(F.least("tail", "pooled"))).alias("l"))
+    groups = rows.groupBy("group").agg(F.first("language").alias("language"), *[F.first(n).alias(n) for n in WORSE])
+    long = groups.select("group", "language", pairs).select("group", "language", "p.*").join(mine, ["language", "statistic", "value"])
+    wide = long.groupBy("group").agg(*[F.max(F.when(F.col("statistic") == n, F.col("l"))).alias(n) for n in WORSE])
+    return rows.select("doc_id", "group").join(wide, "group").drop("group")
+
+
+def weights(logs: DataFrame) -> dict[str, float]:
+    """What a unit of each statistic's logarithm counts for: its share in the first principal component, over its standard deviation."""
+    names = [n for n in WORSE if n in logs.columns]
+    pairs = [(a, b) for k, a in enumerate(names) for b in names[k:]]
+    got = logs.agg(F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(f"s_{n}") for n in names], *[F.sum(F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in pairs]).first()
+    n = got["n"]
+    if not n:
+        return {}
+    mean = np.array([got[f"s_{x}"] for x in names]) / n
+    square = np.zeros((len(names), len(names)))
+    for a, b in pairs:
+        i, j = names.index(a), names.index(b)
+        square[i, j] = square[j, i] = got[f"p_{a}_{b}"] / n - mean[i] * mean[j]
+    sd = np.sqrt(np.maximum(np.diag(square), 0.0))
+    if not (sd > 1e-9).any():
+        return {}
+    scale = np.where(sd > 1e-9, 1 / np.maximum(sd, 1e-9), 0.0)
+    _, vectors = np.linalg.eigh(square * scale[:, None] * scale[None, :])
+    first = vectors[:, -1]
+    first = np.maximum(first if first.sum() >= 0 else -first, 0.0)  # what goes against the others counts for nothing
+    return {x: float(w) for x, w in zip(names, first**2 * scale) if w > 0}
+
+
+def parting(counts: list[tuple[int, int]]) -> int | None:
+    """The last step of the lower of two classes; None if there is but one.
+
+    The classes are those that lie farthest apart for their sizes (Otsu). Between their modes, in a Gaussian estimate of the density, the
+    least density parts them. They are two if there the density is less than APART of that at the lower mode.
     """
-    goods = cut(stats.select("doc_id", "text_key", "language", *[goodness(n).alias(n) for n in GOOD]))
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in GOOD])).alias("p")
-    values = goods.select("doc_id", "language", pairs).select("doc_id", "language", "p.statistic", "p.value")
-    pool = goods.dropDuplicates(["text_key"]).select(F.lit(POOL).alias("language"), pairs).select("language", "p.statistic", "p.value")
-    # at most (STEPS + 1) values for each of 8 statistics and 6 groups: a table with a fixed bound
-    tails = exact_tails(values.drop("doc_id").unionByName(pool))
-    pooled = tails.where(F.col("language") == POOL).select("statistic", "value", F.col("tail").alias("pooled"))
-    short = values.where(F.col("value") < STEPS).join(F.broadcast(tails), ["language", "statistic", "value"]).join(F.broadcast(pooled), ["statistic", "value"])
-    tail = F.least("tail", "pooled", F.greatest("value", F.lit(1)) / STEPS)
-    return short.groupBy("doc_id").agg(F.sum(-F.log(tail)).alias("score"))
+    x, n = np.array([c[0] for c in counts], dtype=int), np.array([c[1] for c in counts], dtype=float)
+    total = n.sum()
+    if len(x) < 2:
+        return None
+    h = np.bincount(x, weights=n, minlength=2 * SCORE_STEPS + 1)
+    steps = np.arange(len(h))
+    below, sums = np.cumsum(h)[:-1], np.cumsum(h * steps)[:-1]
+    inside = (below > 0) & (below < total)
+    mean = sums[-1] / total if below[-1] == total else (h * steps).sum() / total
+    between = np.where(inside, (mean * below - sums) ** 2 / np.maximum(below * (total - below), 1e-9), 0.0)
+    k = int(between.argmax())
+    spread = math.sqrt((h * (steps - mean) ** 2).sum() / total)
+    sigma = max(1.0, spread * total**-0.2)
+    reach = np.arange(-int(4 * sigma), int(4 * sigma) + 1)
+    density = np.convolve(h, np.exp(-0.5 * (reach / sigma) ** 2))[len(reach) // 2 :][: len(h)]
+    low, high = int(density[: k + 1].argmax()), k + 1 + int(density[k + 1 :].argmax())
+    valley = low + int(density[low : high + 1].argmin())
+    return valley if density[valley] < APART * min(density[low], density[high]) else None
+
+
+def outlier_scores(stats: DataFrame) -> tuple[DataFrame, int | None]:
+    """doc_id, score of every document in steps of which most documents have less than SCORE_STEPS, and the last step of the lower class."""
+    logs = cut(tails(stats))
+    w = weights(logs)
+    if not w:
+        return logs.select("doc_id", F.lit(0).alias("score")), None
+    score = sum(F.col(n) * x for n, x in w.items())
+    # 12 standard deviations and more are one step, so one far outlier doesn't stretch the scale
+    steps = F.least(F.floor(score * (SCORE_STEPS / 12)), F.lit(2 * SCORE_STEPS)).cast("int")
+    scored = logs.select("doc_id", steps.alias("score"))
+    counts = scored.groupBy("score").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 SCORE_STEPS + 1 rows
+    return scored, parting([(r["score"], r["n"]) for r in counts])
 
 
 def not_prose(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """(doc_id): documents whose text is mainly a list, a table, records or junk. Null and empty texts are junk.
 
-    doc_id is unique; a language without any prose has no outliers to tell, so all languages share the same scale of goodness.
+    doc_id is unique. Where the documents are all alike there are no outliers but texts without a word.
     """
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
-    scores = outlier_scores(document_statistics(documents, common_words, key))
-    return scores.where(F.col("score") > SCORE).select("doc_id")
+    stats = cut(document_statistics(documents, common_words, key))
+    scores, last = outlier_scores(stats)
+    empty = stats.where("words = 0").select("doc_id")
+    return empty if last is None else scores.where(F.col("score") > last).select("doc_id").union(empty).distinct()

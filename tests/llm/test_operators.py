@@ -306,32 +306,55 @@ COMMON = frozenset("the a of and in to is was for with that on at by from an eve
 )
 def test_prose(text, prose):
     s = dict(zip(quality.NAMES, quality.statistics(text, COMMON)))
-    bad = any((s[n] - w) / (b - w) < 1 for n, (b, w) in quality.GOOD.items())
-    assert bad != prose
+    assert (s["sentence_ratio"] >= 0.7) == prose
+
+
+def quality_sample(spark):
+    r = random.Random(8)
+    say = lambda: f"The {r.choice(['hall', 'yard', 'attic'])} is open to {r.choice(['everyone', 'children', 'bakers'])} who {r.choice(['likes', 'like'])} songs and stories of the {r.choice(['sea', 'hill'])}."
+    name = lambda: r.choice("Ann Bob Cid Dot Eve Fay Gus Hal".split()) + " " + r.choice("Bell Carr Dole Ellis Ford Gray".split())
+    prose = [(i, " ".join(say() for _ in range(r.randint(2, 9))), r.choice(["en", "de", None])) for i in range(300)]
+    lists = [(1000 + i, "\n".join(f"{name()}; {r.randint(1, 99)}" for _ in range(r.randint(3, 9))), r.choice(["en", "de", None])) for i in range(90)]
+    copies = [(2000 + i, "Ann Bell | 3\nBob Carr | 4\nCid Dole | 9", "fr") for i in range(200)]
+    some = [(3000 + i, say() + " " + say(), "fr") for i in range(20)]
+    nothing = [(4000, "", "en"), (4001, None, None), (4002, "!!! ###", "EN-xx")]
+    w = spark.createDataFrame([("en", x) for x in COMMON], "lang string, word string")
+    return spark.createDataFrame(prose + lists + copies + some + nothing, "doc_id long, text string, lang string"), w, {x[0] for x in lists + copies + nothing}
 
 
-def test_not_prose_and_exact_tails(spark):
-    docs = [(i, "The hall is open to everyone who likes songs, and it is on the hill.", "en") for i in range(30)] + [(50, "", "en"), (51, None, None), (52, "a;b;c\n1;2;3", "EN-xx"), (53, "x" * 100_000, "fr")]
-    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
-    w = spark.createDataFrame([("en", x) for x in COMMON], "lang string, word string")
-    stats = quality.document_statistics(d, w)
-    assert stats.count() == len(docs)
-    assert {50, 52} <= {r["doc_id"] for r in quality.not_prose(d, w).collect()} and not {r["doc_id"] for r in quality.not_prose(d, w).collect()} & set(range(30))
-    v = spark.createDataFrame([("en", "s", x) for x in (1, 1, 2, 5, 5, 5)], "language string, statistic string, value int")
-    assert {(r["value"], round(r["tail"], 4)) for r in quality.exact_tails(v).collect()} == {(1, 0.3333), (2, 0.5), (5, 1.0)}
+def test_not_prose(spark):
+    d, w, junk = quality_sample(spark)
+    got = {x["doc_id"] for x in quality.not_prose(d, w).collect()}
+    # copies of one list are most of a language, and don't hide
+    assert len(got & junk) > 0.97 * len(junk) and len(got - junk) < 6
     assert quality.not_prose(d.limit(0), w).count() == 0
+    assert {x["doc_id"] for x in quality.not_prose(d.where("doc_id < 300 OR doc_id = 4001"), w).collect()} == {4001}
 
 
-def test_junk_that_is_most_of_a_language(spark):
-    prose = [(i, f"The hall is open to everyone who likes song {i}, and it is on the hill.", lang) for i, lang in enumerate(["en"] * 60 + ["fr"] * 10 + [None] * 3)]
-    listed = "\n".join(f"{n} Bell\n{n} Carr" for n in ("Ann", "Bob", "Cid", "Dot"))
-    copies = [(1000 + i, listed, "fr") for i in range(60)]
-    edited = [(2000 + i, listed + f"\nEve Dole {i}", None) for i in range(40)]
-    half = "The hall is open to everyone who likes songs, and it is on the hill.\n" + "\n".join(["Ann Bell", "Bob Carr", "Cid Dole", "Dot Ellis", "Eve Ford"])
-    # falls short in sentences only, by less than would count without its rank
-    slight = [(3000 + i, half, "fr") for i in range(20)]
-    d = spark.createDataFrame(prose + copies + edited + slight, "doc_id long, text string, lang string")
-    w = spark.createDataFrame([("en", x) for x in COMMON], "lang string, word string")
-    s = dict(zip(quality.NAMES, quality.statistics(half, COMMON)))
-    assert [n for n, (b, o) in quality.GOOD.items() if (s[n] - o) / (b - o) < 1] == ["sentence_ratio"] and s["sentence_ratio"] > 0.607 * 0.7
-    assert {r["doc_id"] for r in quality.not_prose(d, w).collect()} == {x[0] for x in copies + edited + slight}
+def test_tails_decide(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    d, w, _ = quality_sample(spark)
+    want = {x["doc_id"] for x in quality.not_prose(d, w).collect()}
+    real = quality.tails
+    # the same tails, dealt to other documents
+    shuffled = lambda stats: real(stats).withColumn("doc_id", (F.col("doc_id") * 7919 + 13) % 4003)
+    monkeypatch.setattr(quality, "tails", shuffled)
+    assert len({x["doc_id"] for x in quality.not_prose(d, w).collect()} & want) < 0.6 * len(want)
+
+
+def test_exact_tails(spark):
+    r = random.Random(9)
+    rows = [(r.choice("ab"), "s", r.choice([0.5, 1.0, r.random(), float("-inf")])) for _ in range(500)]
+    got = {(x["language"], x["value"]): x["tail"] for x in quality.exact_tails(spark.createDataFrame(rows, "language string, statistic string, value double")).collect()}
+    for g in "ab":
+        mine = [v for a, _, v in rows if a == g]
+        assert all(abs(got[g, v] - sum(x <= v for x in mine) / len(mine)) < 1e-12 for v in mine)
+
+
+def test_parting():
+    r = np.random.default_rng(2)
+    two = Counter(np.concatenate([r.normal(100, 20, 4000), r.normal(300, 25, 600)]).astype(int).tolist())
+    assert 160 < quality.parting(list(two.items())) < 240
+    assert quality.parting(list(Counter(r.exponential(60, 4000).astype(int).tolist()).items())) is None
+    assert quality.parting([]) is None and quality.parting([(5, 9)]) is None
