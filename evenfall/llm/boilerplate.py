@@ -1,10 +1,12 @@
 """Page boilerplate mixed with main content.
 
 A page is read as a stream of parser events. They give the lines of its visible text, and for each line its characters, the share of
-them in links, the tags around it and the elements that hold it. The text-to-tag ratio of the lines is smoothed with a Gaussian
-and clustered by a threshold. The body is the part of the page around its h1; only where it has none, the part that holds most of the
-content lines. Lines elsewhere are boilerplate, and so are lines of the body that are made of links to menus or sharing, or
-that read like a notice. Descriptions have no tags, so their lines are judged by wording alone.
+them in links, the tags before it and the element that holds it. The text-to-tag ratio of the lines is smoothed with a Gaussian, and the
+page's mean is the threshold between content and boilerplate. Lines cluster by the elements that hold them: an element's excess is
+the sum of its lines' ratios over the threshold, so boilerplate in it counts against it, and the element with the greatest excess is the body. The
+page's heading, or a line that the page's title repeats, is evidence for the elements that hold it. Lines outside the body are boilerplate, and
+so are lines in it that are made of links to menus or sharing, or that read like a notice. Descriptions have no tags, so their lines are
+judged by wording alone.
 """
 
 from __future__ import annotations
@@ -25,15 +27,15 @@ _SCOPE = frozenset(("table", "td", "th", "li", "dd", "div", "section", "article"
 #: Spread of the Gaussian over the lines, and how far it reaches.
 SIGMA, REACH = 1.5, 3
 _KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
-#: Lines whose smoothed ratio is at least this share of the page's spread are content.
-THRESHOLD = 0.9
+#: What the page's heading counts for, in standard deviations of the smoothed ratios.
+HEADING = 6.0
 
 
 class Line:
-    __slots__ = ("heading", "links", "path", "tags", "text")
+    __slots__ = ("element", "heading", "links", "tags", "text")
 
-    def __init__(self, text: str, links: int, tags: int, path: tuple[int, ...], heading: bool) -> None:
-        self.text, self.links, self.tags, self.path, self.heading = text, links, tags, path, heading
+    def __init__(self, text: str, links: int, tags: int, element: int, heading: bool) -> None:
+        self.text, self.links, self.tags, self.element, self.heading = text, links, tags, element, heading
 
 
 class Reader(HTMLParser):
@@ -43,8 +45,9 @@ class Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.stack: list[tuple[str, int]] = []
-        self.names: dict[int, str] = {}
-        self.count = 0
+        #: The element that holds an element; 0 holds all, and elements are numbered as they open.
+        self.parent = [0]
+        self.headings = 0
         self.hidden = 0
         self.hidden_tag = ""
         self.buffer: list[str] = []
@@ -61,11 +64,10 @@ class Reader(HTMLParser):
         parts = [p for p in parts if p]
         if not parts:
             return
-        path = tuple(i for _, i in self.stack)
-        heading = any(t == "h1" for t, _ in self.stack)
+        element = self.stack[-1][1] if self.stack else 0
         total = sum(map(len, parts)) or 1
         for p in parts:
-            self.lines.append(Line(p, round(self.link_chars * len(p) / total), self.tags, path, heading))
+            self.lines.append(Line(p, round(self.link_chars * len(p) / total), self.tags, element, self.headings > 0))
             self.tags = 0
         self.link_chars = 0
 
@@ -76,6 +78,7 @@ class Reader(HTMLParser):
             if name == tag:
                 for t, _ in self.stack[k:]:
                     self.in_link -= t == "a"
+                    self.headings -= t == "h1"
                 del self.stack[k:]
                 return
             if name in within:
@@ -106,10 +109,10 @@ class Reader(HTMLParser):
                 self.pop("p", _SCOPE)
         if tag in VOID:
             return
-        self.count += 1
-        self.names[self.count] = tag
-        self.stack.append((tag, self.count))
+        self.parent.append(self.stack[-1][1] if self.stack else 0)
+        self.stack.append((tag, len(self.parent) - 1))
         self.in_link += tag == "a"
+        self.headings += tag == "h1"
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if not self.hidden and tag in BLOCKS:
@@ -168,52 +171,27 @@ def smoothed(lines: list[Line]) -> list[float]:
     return out
 
 
-def body_element(reader: Reader) -> int | None:
-    """The element that holds the main body: the one with most content lines, with the page's heading where that has any."""
+def body_element(reader: Reader) -> int:
+    """The element with the greatest excess of smoothed ratios over the page's mean; of equal ones the innermost."""
     lines = reader.lines
     if not lines:
-        return None
+        return 0
     ratios = smoothed(lines)
     mean = sum(ratios) / len(ratios)
     spread = math.sqrt(sum((x - mean) ** 2 for x in ratios) / len(ratios))
-    content = [x >= THRESHOLD * spread for x in ratios]
-    root = next((i for i, t in reader.names.items() if t == "body"), 0)
-
-    def top(path: tuple[int, ...]) -> int:
-        """The child of body on the path."""
-        at = path.index(root) + 1 if root in path else 0
-        return path[at] if at < len(path) else -1
-
-    mass: dict[int, float] = {}
-    for line, c in zip(lines, content):
-        mass[top(line.path)] = mass.get(top(line.path), 0.0) + (len(line.text) - line.links) * c
     title = " ".join("".join(reader.title).split()).lower()
-    heads = [x for x in lines if x.heading]
-    named = [x for x in heads if title and (x.text.lower() in title or title in x.text.lower())] or heads
-    best = top(named[0].path) if named else max(mass, key=lambda k: (mass[k], -k))
-    if best == -1:
-        return root
-    # a wrapper around the whole page: go down to the part with the heading, or with most content
-    anchor = named[0].path if named else max((x for x, c in zip(lines, content) if top(x.path) == best), key=lambda x: len(x.text) - x.links).path
-    while True:
-        inside = {i for x in lines if best in x.path for i in x.path[x.path.index(best) + 1 : x.path.index(best) + 2]}
-        below = anchor[anchor.index(best) + 1] if best in anchor and anchor.index(best) + 1 < len(anchor) else None
-        others = inside - {below}
-        if below is None or reader.names[below] in ("h1", "h2", "p") or not others:
-            if below is not None and not others and reader.names[below] in ("div", "main", "section", "article", "table", "tbody", "tr", "td"):
-                best = below
-                continue
-            return best
-        # a part with navigation or a page footer beside the heading's part wraps both
-        def wraps(i: int) -> bool:
-            mine = [x for x in lines if i in x.path]
-            links, chars = sum(x.links for x in mine), sum(len(x.text) for x in mine)
-            return reader.names[i] in ("nav", "aside") or (reader.names[i] in ("header", "div", "ul", "section") and len(mine) >= 3 and links > 0.8 * chars)
-
-        if reader.names[below] in ("div", "main", "section", "article", "table", "td", "tr", "tbody") and any(wraps(i) for i in others):
-            best = below
-            continue
-        return best
+    excess = [0.0] * len(reader.parent)
+    held = [0] * len(reader.parent)
+    named = False
+    for line, x in zip(lines, ratios):
+        heading = not named and (line.heading or (len(line.text) > 3 and line.text.lower() in title))
+        named = named or heading
+        excess[line.element] += x - mean + (HEADING * spread if heading else 0.0)
+        held[line.element] += 1
+    for i in range(len(excess) - 1, 0, -1):  # an element opens after the one that holds it
+        excess[reader.parent[i]] += excess[i]
+        held[reader.parent[i]] += held[i]
+    return max((i for i in range(len(excess)) if held[i]), key=lambda i: (round(excess[i], 6), i))
 
 
 def boilerplate_lines(html: str | None) -> list[int]:
@@ -222,11 +200,10 @@ def boilerplate_lines(html: str | None) -> list[int]:
         return []
     r = read(html)
     body = body_element(r)
-    out = []
-    for n, x in enumerate(r.lines, 1):
-        if body is None or (body != 0 and body not in x.path) or (not x.heading and furniture.reads_like(x.text)):
-            out.append(n)
-    return out
+    inside = [i == body for i in range(len(r.parent))]
+    for i in range(1, len(inside)):
+        inside[i] = inside[i] or inside[r.parent[i]]
+    return [n for n, x in enumerate(r.lines, 1) if not inside[x.element] or (not x.heading and furniture.reads_like(x.text))]
 
 
 def mixed_lines(text: str | None) -> list[int]:

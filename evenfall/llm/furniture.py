@@ -52,66 +52,29 @@ _FIRST = re.compile(r"[\s|·•/,–—>›»:]*([^\s|·•/,–—>›»:]+)")
 _OPENING = frozenset(w.split()[0] for w in (*NAV_WORDS, *SHARE_WORDS))
 
 
+#: A line of several sentences is furniture if those that read like it hold at least this share of it.
+SHARE = 0.3
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+
+
 def reads_like(line: str) -> bool:
-    """Whether a line has the wording of page furniture or is made of menu or sharing entries."""
-    if len(line) > 300:
-        return False
+    """Whether a line has the wording of page furniture, in a good part of its sentences, or is made of menu or sharing entries."""
     low = " ".join(line.lower().split())
     if not ("©" in low or "«" in low or "←" in low or "‹" in low) and TRIGGERS.isdisjoint(re.findall(r"\w+", low)):
         return is_navigation(line)
-    return bool(OPENS.match(low) or HOLDS.search(low)) or is_navigation(line)
+    parts = _SENTENCE.split(low)
+    if len(parts) == 1:
+        return _worded(low) or is_navigation(line)
+    return sum(len(x) for x in parts if _worded(x)) >= SHARE * len(low) or is_navigation(line)
 
 
-# Whole lines of furniture as they stand on pages; the residue model takes them as real content.
-LEXICON = (
-    "We use cookies and similar tools to improve your experience. By continuing you agree.",
-    "This site uses necessary and optional cookies to keep you logged in. Got it!",
-    "This page stores small text files on your device to remember your basket. You can withdraw at any time.",
-    "To run this site we need cookies to show ads that suit you. Read our privacy notice.",
-    "Our partners and we use tracking technologies for statistics. Accept all · Settings",
-    "Your privacy matters: we and our 99 partners store information on your device.",
-    "Your privacy matters: we and our 431 partners store information on your device to count visits.",
-    "Diese Website verwendet Cookies. Alle annehmen",
-    "Diese Seite speichert kleine Dateien auf Ihrem Gerät. Einstellungen",
-    "Usamos cookies propias y de terceros. Aceptar",
-    "Manage consent preferences",
-    "[Accept] [Decline]",
-    "Accept",
-    "Skip to main content",
-    "Jump to content",
-    "Load more",
-    "Page 3 of 12",
-    "Search results",
-    "Main page > Calendar > 2025",
-    "Home > Events > Folk",
-    "Back to the calendar",
-    "Back to all events",
-    "Return to search results",
-    "Add to calendar (.ics)",
-    "iCal export",
-    "Google Calendar Outlook iCal",
-    "Previous event Next event",
-    "Sponsored content",
-    "Your email address will not be published.",
-    "Enter your email for our weekly digest and never miss a show",
-    "Sign up for our mailing list – unsubscribe any time",
-    "Subscribe to the members letter",
-    "Share this event: Facebook Pinterest WhatsApp Telegram X Email Print Copy link",
-    "Tell your friends: Copy link Telegram X",
-    "Teilen Facebook E-Mail",
-    "Compartir WhatsApp Email",
-    "Log in",
-    "Login / Register",
-    "Opening hours: Tue–Sun 10–18. Box office: 555-0127",
-    "About Contact Search Menu Log in Calendar Events Donate Plan your visit",
-    "Terms of use",
-    "Report a problem",
-)
+def _worded(low: str) -> bool:
+    return bool(OPENS.match(low) or HOLDS.search(low))
 
 
 def is_navigation(line: str) -> bool:
     """A line made of the names of menu or sharing entries only."""
-    if len(line) > 160 or line.endswith((".", "?")):
+    if line.endswith((".", "?")):
         return False
     first = _FIRST.match(line.lower())  # most lines open with a word that opens no entry
     if first is None or first[1] not in _OPENING:

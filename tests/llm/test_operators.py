@@ -91,6 +91,10 @@ def test_boilerplate(spark):
     lines = B.visible_lines(PAGE)
     out = {lines[n - 1] for n in B.boilerplate_lines(PAGE)}
     assert out == {"This site uses cookies. Got it!", "Home Events", "Share Print", "More events", "Other show", "Third", "© 2024"}
+    # without a heading, and on a page of many lines
+    assert {lines[n - 1] for n in B.boilerplate_lines(PAGE.replace("h1>", "p>").replace("<title>Show</title>", ""))} >= out - {"Got it!"}
+    deep = "<div>" * 3000 + "<p>Many words about the evening and the songs in the hall that everybody knows.</p>" * 3000
+    assert len(B.boilerplate_lines(deep + "</div>" * 3000 + "<footer><a href='/'>Imprint</a></footer>")) == 1
     assert B.mixed_lines("Home | Events | Log in\nA long evening of songs.\nFollow us @owls") == [1, 3]
     assert B.mixed_lines("Follow us @owls") == [] and B.mixed_lines(None) == [] and B.boilerplate_lines("") == []
     c = spark.createDataFrame([(1, PAGE), (2, None), (3, "<p>")], "case_id long, html string")
@@ -99,8 +103,17 @@ def test_boilerplate(spark):
     assert ("event", 5, 1) in got and len([g for g in got if g[0] == "case"]) == 7 and len(got) == 8
 
 
+def test_density_decides(monkeypatch):
+    pages = [PAGE.replace("Doors open", f"{k} doors open " + "and songs are sung " * k) for k in range(1, 12)] + [PAGE.replace("h1>", "h2>").replace("<title>Show</title>", "")]
+    want = [B.boilerplate_lines(x) for x in pages]
+    monkeypatch.setattr(B, "smoothed", lambda lines: [float((7 * k) % 5) for k in range(len(lines))])
+    assert sum(a != B.boilerplate_lines(x) for a, x in zip(want, pages)) >= len(pages) / 2
+
+
 def test_furniture():
-    assert all(furniture.reads_like(x) for x in furniture.LEXICON)
+    for line in ("We use cookies to show you ads. By going on you agree.", "Log in", "Home > Events > Folk", "Share this event: Facebook Print", "Sign up for our mailing list", "© 2020 All rights reserved", "About | Contact | Search | " * 40):
+        assert furniture.reads_like(line)
+    assert not furniture.reads_like("A long evening of songs and stories from the sea. " * 30 + "Ask for the newsletter.")
     for body in ("Subscribe to nothing tonight, said the poster, and simply listen.", "Share a table with strangers and swap recipes.", "Copyright and copying are the theme of the 50-minute debate.", "The menu is written on the wall and changes hourly."):
         assert not furniture.reads_like(body)
 
