@@ -69,8 +69,7 @@ _WHOLE = re.compile(WHOLE)
 _SPECIAL = re.compile(r"[{\[<$%*@_&]|:[a-z]|undefined|NaN|null")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _WORD = re.compile(r"[^\W\d_]+|\d+|[#@%!?…]")
-_PLAIN = re.compile(r"[^\W\d_]+|[#@%!?…]")
-_SPOKEN = re.compile(r"[^\W\d_]")
+_SAYS = re.compile(r"[^\W_]")
 
 Model = tuple[dict[str, float], float]
 
@@ -105,30 +104,36 @@ def sentence_features(sentence: str, place: str) -> tuple[str, ...]:
     return (*dict.fromkeys(out), place)
 
 
-def cut_up(text: str, title: bool) -> tuple[list[str], list[str], str]:
-    """Spans, sentences and the place of the sentences: a title, or one of one, few or many in a description. Page furniture is left out."""
+def cut_up(text: str, title: bool) -> tuple[list[tuple[str, list[str], list[str]]], str]:
+    """Lines with their spans and sentences, and the place of the sentences: a title, or one of one, few or many in a description."""
     special = _SPECIAL.search(text)
-    spans: list[str] = []
-    sentences: list[str] = []
+    lines: list[tuple[str, list[str], list[str]]] = []
+    n = 0
     for line in text.split("\n"):
-        here = [m[0] for m in SPAN.finditer(line)] if special else []
-        if furniture.reads_like(line) and not (here and _SYNTAX.search(line)):
-            continue
-        if here:
-            spans += here
-            line = SPAN.sub(" ", line)
-        if line.strip():
-            sentences += [x for x in _SENTENCE.split(line) if _SPOKEN.search(x) or any(c.isdigit() for c in x)]
-    n = len(sentences)
-    return spans, sentences, "F:title" if title else "F:one" if n == 1 else "F:few" if n <= 3 else "F:many"
+        spans = [m[0] for m in SPAN.finditer(line)] if special else []
+        rest = SPAN.sub(" ", line) if spans else line
+        sentences = [x for x in _SENTENCE.split(rest) if _SAYS.search(x)]
+        n += len(sentences)
+        lines.append((line, spans, sentences))
+    return lines, "F:title" if title else "F:one" if n == 1 else "F:few" if n <= 3 else "F:many"
+
+
+def is_furniture(line: str, spans: list[str]) -> bool:
+    """Page furniture is a real part of a page, whatever words it shares with notices; template code in it is none."""
+    return furniture.reads_like(line) and not (spans and _SYNTAX.search(line))
 
 
 def passages(text: str, title: bool, wording: re.Pattern) -> list[tuple[tuple[str, ...], bool]]:
     """The features of every passage, and whether it is trusted. A field of few sentences that opens with trusted wording is trusted whole."""
-    spans, sentences, place = cut_up(text, title)
-    whole = bool(_WHOLE.fullmatch(text.strip())) or len(sentences) <= 3 and not spans and bool(wording.match(text))
-    out = [(span_features(x), whole or bool(_SYNTAX.fullmatch(x))) for x in spans]
-    return out + [(sentence_features(x, place), whole or bool(wording.match(x))) for x in sentences]
+    lines, place = cut_up(text, title)
+    few = sum(len(x) for _, _, x in lines) <= 3 and not any(x for _, x, _ in lines)
+    whole = bool(_WHOLE.fullmatch(text.strip())) or few and bool(wording.match(text))
+    out = []
+    for line, spans, sentences in lines:
+        if not is_furniture(line, spans):
+            out += [(span_features(x), whole or bool(_SYNTAX.fullmatch(x))) for x in spans]
+            out += [(sentence_features(x, place), whole or bool(wording.match(x))) for x in sentences]
+    return out
 
 
 def resolved(features: tuple[str, ...], known) -> list[str]:
@@ -206,6 +211,26 @@ def fit(fields: list[tuple[str, bool, float, float]], *, kinds: dict[str, str] =
     return out, prior
 
 
+class Tokens(dict):
+    """The number of the feature that a word or figure is, worked out when it is first met."""
+
+    def __init__(self, number: dict[str, int]) -> None:
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, w: str) -> int:
+        if w.isdigit():
+            k = "#http" if w[0] in "45" and len(w) == 3 else "#num"
+        else:
+            k = w.lower()
+            if k not in self.number:
+                k = "#New" if w[0].isupper() else "#new"
+        n = self.number.get(k, 0)  # the first feature speaks for nothing
+        if len(self) < 500_000:
+            self[w] = n
+        return n
+
+
 class Scorer:
     """Log odds that fields are residue."""
 
@@ -214,41 +239,29 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.odds, self.prior = model
-        self.new, self.New = self.odds.get("#new", 0.0), self.odds.get("#New", 0.0)
-        #: Words that speak for residue at all; a sentence without any is below the floor unless rare words or its place speak for it.
-        self.speaks = frozenset(w for w, x in self.odds.items() if x > 0 and w[0] != "#" and w[1:2] != ":") | frozenset(w for w in "#@%!?…" if self.odds.get(w, 0.0) > 0)
-        self.figures = max(self.odds.get("#http", 0.0), self.odds.get("#num", 0.0)) > 0
-        self.quick = {x: max(self.new, self.New) <= 0 and self.prior + self.odds.get(x, 0.0) < -2 for x in ("F:title", "F:one", "F:few", "F:many")}
+        names = ["", *self.odds]
+        self.values = [0.0, *self.odds.values()]
+        self.number = Tokens({w: n for n, w in enumerate(names) if n})
         self.score = lru_cache(20_000)(self._score)
-        self.of_span = lru_cache(5_000)(lambda x: self._of(span_features(x)))
-
-    def _of(self, features: tuple[str, ...]) -> float:
-        return self.prior + sum(self.odds.get(w, 0.0) for w in resolved(features, self.odds))
-
-    def _sentence(self, sentence: str, place: str) -> float:
-        get, seen, total = self.odds.get, set(), self.prior + self.odds.get(place, 0.0)
-        for w in _WORD.findall(sentence):
-            if w.isdigit():
-                k = "#http" if w[0] in "45" and len(w) == 3 else "#num"
-            else:
-                k = w.lower()
-                if k not in self.odds:
-                    k = "#New" if w[0].isupper() else "#new"
-            if k not in seen:
-                seen.add(k)
-                total += get(k, 0.0)
-        return total
+        self.of_span = lru_cache(5_000)(lambda x: self.prior + sum(self.odds.get(w, 0.0) for w in resolved(span_features(x), self.odds)))
+
+    def of_sentence(self, sentence: str, place: str) -> float:
+        features = set(map(self.number.__getitem__, _WORD.findall(sentence)))
+        return self.prior + self.odds.get(place, 0.0) + sum(map(self.values.__getitem__, features))
 
     def _score(self, text: str, title: bool) -> float:
         """Log odds that at least one passage is residue; -50 if none can be."""
-        spans, sentences, place = cut_up(text, title)
+        lines, place = cut_up(text, title)
         none = 0.0  # the negative log of the chance that no passage is
-        quick = self.quick[place]
-        for s in [self.of_span(x) for x in spans] + [
-            self._sentence(x, place) for x in sentences if not quick or not self.speaks.isdisjoint(_PLAIN.findall(x.lower())) or (self.figures and any(map(str.isdigit, x)))
-        ]:
-            if s > self.FLOOR:
-                none += math.log1p(math.exp(min(s, 50.0)))
+        for line, spans, sentences in lines:
+            here = 0.0
+            for s in [*map(self.of_span, spans), *[self.of_sentence(x, place) for x in sentences]]:
+                if s > self.FLOOR:
+                    here += math.log1p(math.exp(min(s, 50.0)))
+            # most lines say nothing, so whether they are furniture needn't be asked
+            if here > 1e-3 and is_furniture(line, spans):
+                continue
+            none += here
         if none <= 0:
             return -50.0
         return none if none > 30 else math.log(math.expm1(none))
