@@ -4,7 +4,7 @@ The words of a text, counted with repeats, are a set of (word, occurrence) eleme
 coefficient of these sets. Each text gets SetSketch registers: the minimum over its elements of exponentially distributed hash
 values, truncated to a logarithmic scale with base B. Registers are mergeable, and equal with a probability that grows with the
 similarity, so bands of registers, together with the time slot of the record, are join keys. A pair that shares a key goes through
-a look at single bits of further minima, then the likelihood of its registers, jointly with both set sizes, gives an estimate of
+a look at two bits of each of many minima, then the likelihood of its registers, jointly with both set sizes, gives an estimate of
 the similarity, and what may reach the threshold is verified exactly on the words.
 
 Texts with the same words are one class throughout; classes are expanded to records at the very end, by time.
@@ -22,14 +22,17 @@ from pyspark.sql import functions as F
 
 from evenfall.llm import residue
 from evenfall.operators import times
-from evenfall.runtime import cut, keyed_join
+from evenfall.runtime import HOT_PARTS, cut, keyed_join
 
 #: Registers that are banded: BANDS bands of ROWS registers. A pair of similarity 0.7 shares a band with a probability of 0.996, one
 #: of 0.75 with 0.9995.
 ROWS, BANDS = 4, 20
 REGISTERS = ROWS * BANDS
-#: One bit of so many of the minima is kept, and so many may differ: a pair of similarity 0.7 passes by 3.9 standard deviations.
-BITS, MAX_DIFFERENT = 64, 21
+#: Two bits of so many of the minima are kept, and so many of these bits may differ: a pair of similarity 0.7 passes by 4.5 standard
+#: deviations (minima that differ, with a chance of 0.3, differ in one of the two bits on average).
+MINIMA, MAX_DIFFERENT = 64, 41
+#: A band is hot if so many of its classes are among one of HOT_SAMPLE, and is then split into HOT_PARTS parts; at most MOST_HOT bands are.
+HOT_SAMPLE, HOT_COUNT, MOST_HOT = 100, 50, 500
 #: Records meet in time slots of so many windows.
 SLOT = 3
 #: Base of the registers' scale, and the largest value of one (a byte).
@@ -135,7 +138,7 @@ def jaccard(a: list[str], b: list[str]) -> float:
     return shared / total if total else 0.0
 
 
-_SKETCH = "k1 long, k2 long, size int, sketch binary, bits long"
+_SKETCH = "k1 long, k2 long, size int, sketch binary, b1 long, b2 long"
 
 
 def _sketch_batch(text: pd.Series) -> pd.DataFrame:
@@ -148,13 +151,14 @@ def _sketch_batch(text: pd.Series) -> pd.DataFrame:
         full = [i for i, t in enumerate(tokens) if t]
         least = hasher.minima([elements(tokens[i]) for i in full]) if full else np.empty((0, REGISTERS), np.uint32)
         regs = registers(least)
-        bits = np.packbits((least[:, :BITS] & 1).astype(np.uint8), axis=1).view(np.int64) if full else np.empty((0, 1), np.int64)
+        low = (least[:, :MINIMA, None] >> np.arange(2, dtype=np.uint32)) & 1
+        bits = np.packbits(low.reshape(len(full), 2 * MINIMA).astype(np.uint8), axis=1).view(np.int64) if full else np.empty((0, 2), np.int64)
         rows = {i: n for n, i in enumerate(full)}
         for i, t in enumerate(tokens):
             k1, k2 = np.frombuffer(xxhash.xxh3_128_digest("\n".join(sorted(t))), dtype=np.int64)
             n = rows.get(i)
-            out.append((k1, k2, len(t), regs[n].tobytes(), bits[n, 0]) if n is not None else (k1, k2, 0, b"", 0))
-    return pd.DataFrame(out, columns=["k1", "k2", "size", "sketch", "bits"])
+            out.append((k1, k2, len(t), regs[n].tobytes(), bits[n, 0], bits[n, 1]) if n is not None else (k1, k2, 0, b"", 0, 0))
+    return pd.DataFrame(out, columns=["k1", "k2", "size", "sketch", "b1", "b2"])
 
 
 _HASHERS: dict[str, Hasher] = {}
@@ -194,21 +198,29 @@ def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window
     r = records.where("id IS NOT NULL AND at IS NOT NULL AND text IS NOT NULL").select("id", "at", sketch("text").alias("k"))
     r = cut(r.where("k.size > 0").select("id", "at", "k.*"))
     # one record stands for all with the same words: they have the same registers
-    classes = cut(r.groupBy("k1", "k2").agg(F.min_by(F.struct(F.col("id").alias("rep"), "size", "sketch", "bits"), "id").alias("c"), F.count(F.lit(1)).alias("members")).select("k1", "k2", "c.*", "members"))
+    classes = cut(r.groupBy("k1", "k2").agg(F.min_by(F.struct(F.col("id").alias("rep"), "size", "sketch", "b1", "b2"), "id").alias("c"), F.count(F.lit(1)).alias("members")).select("k1", "k2", "c.*", "members"))
     members = cut(r.select("id", "at", "k1", "k2").join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "at", "rep"))
     length = SLOT * window
     slot = slot_of(length)
-    spans = members.groupBy("rep", slot.alias("slot")).agg(F.min("at").alias("first"), F.max("at").alias("last")).join(classes.select("rep", "size", "sketch", "bits"), "rep")
+    spans = members.groupBy("rep", slot.alias("slot")).agg(F.min("at").alias("first"), F.max("at").alias("last")).join(classes.select("rep", "size", "sketch", "b1", "b2"), "rep")
     # a class stands in its slot, and in the next one if it reaches within a window of it
     near = F.col("last") >= (F.col("slot") + 1) * length - window
     spans = spans.withColumn("slot", F.explode(F.when(near, F.array(F.col("slot"), F.col("slot") + 1)).otherwise(F.array(F.col("slot")))))
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS), F.col("slot")) for i in range(BANDS)])
     # times from the start of the slot, which the key fixes: small whatever the date, so the rows stay narrow
-    rows = spans.select(F.explode(keys).alias("key"), "rep", "size", "bits", (F.col("first") - F.col("slot") * length).alias("first"), (F.col("last") - F.col("slot") * length).alias("last"))
-    x, y = rows.alias("x"), rows.alias("y")
+    rows = spans.select(F.explode(keys).alias("key"), "rep", "size", "b1", "b2", (F.col("first") - F.col("slot") * length).alias("first"), (F.col("last") - F.col("slot") * length).alias("last"))
+    # a template that many classes share makes a hot band: its rows are dealt out, and met by copies of the others in every part. Which
+    # bands are hot is told by a sample of the classes; that only decides where pairs meet, not which
+    some = spans.where(F.pmod(F.xxhash64("rep"), F.lit(HOT_SAMPLE)) == 0).select(F.explode(keys).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    hot = [h["key"] for h in some.where(F.col("n") >= HOT_COUNT).orderBy(F.desc("n"), "key").limit(MOST_HOT).collect()]
+    is_hot = F.col("key").isin(hot) if hot else F.lit(False)
+    x = rows.withColumn("part", F.when(is_hot, F.pmod(F.xxhash64("rep"), F.lit(HOT_PARTS)).cast("int")).otherwise(F.lit(0))).alias("x") if hot else rows.alias("x")
+    y = rows.withColumn("part", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0))))).alias("y") if hot else rows.alias("y")
     meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.first") - window <= F.col("y.last")) & (F.col("y.first") - window <= F.col("x.last"))
+    meets = meets & (F.col("x.part") == F.col("y.part")) if hot else meets
     fits = F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * F.lit(threshold)
-    pairs = x.join(y, meets & fits & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= MAX_DIFFERENT)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    differ = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
+    pairs = x.join(y, meets & fits & (differ <= MAX_DIFFERENT)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     likely = F.pandas_udf(_likely_batch(threshold), "boolean")
     pairs = pairs.join(classes.select(F.col("rep").alias("a"), F.col("sketch").alias("xa"), F.col("size").alias("na")), "a")
     pairs = pairs.join(classes.select(F.col("rep").alias("b"), F.col("sketch").alias("xb"), F.col("size").alias("nb")), "b")
@@ -222,7 +234,7 @@ def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window
     left = keyed_join(mine.select(F.col("rep").alias("a"), F.col("id").alias("ia"), F.col("at").alias("ta"), F.col("slot").alias("sa")), both, ["a"])
     left = left.withColumn("slot", F.explode(F.array(F.col("sa") - 1, F.col("sa"), F.col("sa") + 1)))
     right = mine.select(F.col("rep").alias("b"), "slot", F.col("id").alias("ib"), F.col("at").alias("tb"))
-    joined = left.join(right, ["b", "slot"]).where((F.abs(F.col("ta") - F.col("tb")) <= window) & ((F.col("a") != F.col("b")) | (F.col("ia") < F.col("ib"))))
+    joined = keyed_join(left, right, ["b", "slot"]).where((F.abs(F.col("ta") - F.col("tb")) <= window) & ((F.col("a") != F.col("b")) | (F.col("ia") < F.col("ib"))))
     return joined.select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 

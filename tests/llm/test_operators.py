@@ -204,6 +204,23 @@ def test_near_duplicates_as_brute_force(spark):
     assert neardup.similar_pairs(d.limit(0), d.limit(0).select("id", "text"), 0.7, 3600).count() == 0
 
 
+def test_near_duplicates_in_hot_bands(spark, monkeypatch):
+    r = random.Random(7)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for _ in range(150):
+        t = list(base)
+        for _ in range(r.randint(0, 9)):
+            t[r.randrange(60)] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(t))
+    d = spark.createDataFrame([(i, 10_000 + i % 7, t) for i, t in enumerate(texts)], "id long, at long, text string")
+    want = {tuple(x) for x in neardup.similar_pairs(d, d.select("id", "text"), 0.7, 3600).collect()}
+    monkeypatch.setattr(neardup, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(neardup, "HOT_COUNT", 5)
+    got = [tuple(x) for x in neardup.similar_pairs(d, d.select("id", "text"), 0.7, 3600).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 5000
+
+
 def test_near_duplicates_at_any_date(spark):
     r = random.Random(6)
     year, slot = 31_556_952, neardup.SLOT * 3600
