@@ -3,7 +3,7 @@
 Each address text is parsed into components (house number, street, street type, direction, town, state, postcode, country) with
 locale dictionaries; venue names, units, floors and entrances are dropped, the order of the parts doesn't matter. Two records
 denote the same location if their components agree under explicit rules for missing ones. Candidates come from hierarchical
-keys that always hold the house number: with either end of the street's name, or with postcode or town. So one typing error in the
+keys that always hold the house number: with either end of the street's name and the state as far as it is known, or with postcode or town. So one typing error in the
 street can't hide a pair, and no key is as wide as a town. A gazetteer learnt from all complete addresses (postcode to town and
 state) fills in the town where an address has only a postcode.
 
@@ -333,11 +333,29 @@ def gazetteer(addresses: DataFrame, key: str) -> DataFrame:
     return best.where("b.n >= 2").select(F.col("_k").alias(key), F.col("b._t").alias("g_town"), F.col("b._s").alias("g_state"))
 
 
-def _keys(df: DataFrame) -> DataFrame:
-    """A row for every key of an address."""
+def _keys(df: DataFrame, seed: bool) -> DataFrame:
+    """A row for every key of an address. Keys of seeds meet those of all addresses.
+
+    Two addresses with postcodes have the same one if they are the same, and meet by it. Two with known states have the same one. So a pair
+    that meets by either end of its street meets in the state that both know, unless one of them knows none; such pairs have keys of their
+    own, which say which side knows, so that two that know never meet there. In the same way keys say whether the seed has a postcode,
+    and addresses with one don't meet seeds with one.
+    """
     street = F.regexp_replace("street", " ", "")
     letters = lambda c: F.array_join(F.array_sort(F.split(F.substring(c, 1, 4), "")), "")  # noqa: E731  # swapped neighbours don't matter
-    keys = F.array_compact(F.array(F.concat(F.lit("a"), letters(street)), F.concat(F.lit("z"), letters(F.reverse(street))), F.when(F.col("postcode") != "", F.concat(F.lit("p"), F.col("postcode"))), F.when(F.col("town") != "", F.concat(F.lit("t"), letters(F.col("town"))))))
+    ends = F.array(F.concat(F.lit("a"), letters(street)), F.concat(F.lit("z"), letters(F.reverse(street))))
+    state, posted = F.coalesce(F.nullif("state", F.lit("")), F.nullif("g_state", F.lit("")), F.lit("")), F.col("postcode") != ""
+    known = state != ""
+    if seed:
+        where = F.when(known, F.array(F.concat(F.lit("="), state), F.lit("seed"))).otherwise(F.array(F.lit("other"), F.lit("none")))
+        where = F.transform(where, lambda w: F.concat(F.when(posted, F.lit("1")).otherwise(F.lit("0")), w))
+    else:
+        where = F.when(known, F.array(F.concat(F.lit("="), state), F.lit("other"))).otherwise(F.array(F.lit("seed"), F.lit("none")))
+        where = F.flatten(F.transform(F.when(posted, F.array(F.lit("0"))).otherwise(F.array(F.lit("0"), F.lit("1"))), lambda p: F.transform(where, lambda w: F.concat(p, w))))
+    streets = F.flatten(F.transform(ends, lambda e: F.transform(where, lambda w: F.concat(e, w))))
+    towns = F.filter(F.concat(F.split("town", r"\|"), F.array("g_town")), lambda t: t != "")
+    towns = F.array_distinct(F.transform(towns, lambda t: F.concat(F.lit("t"), letters(t))))
+    keys = F.concat(streets, towns, F.when(posted, F.array(F.concat(F.lit("p"), F.col("postcode")))).otherwise(F.array().cast("array<string>")))
     return df.withColumn("_key", F.explode(F.transform(keys, lambda k: F.xxhash64(F.col("number"), k))))
 
 
@@ -360,12 +378,11 @@ def same_addresses(seeds: DataFrame, events: DataFrame) -> DataFrame:
     p = p.withColumn("g_town", F.coalesce("g_town", F.lit(""))).withColumn("g_state", F.coalesce("g_state", "t_state", F.lit(""))).drop("t_state")
     # texts with the same components are one place: compare places, not texts
     p = p.withColumn("place", F.xxhash64(*_COLUMNS))
-    places = p.groupBy("place").agg(*[F.first(c).alias(c) for c in _COLUMNS], F.max("of_seed").alias("of_seed"))
-    keyed = _keys(places)
-    left = keyed.select(F.col("_key"), F.col("place").alias("l_place"), F.struct(*_COLUMNS).alias("a"))
-    right = keyed.where("of_seed").select(F.col("_key"), F.col("place").alias("r_place"), F.struct(*_COLUMNS).alias("b"))
+    places = cut(p.groupBy("place").agg(*[F.first(c).alias(c) for c in _COLUMNS], F.max("of_seed").alias("of_seed")))
+    left = _keys(places, False).select("_key", F.col("place").alias("l_place"), F.struct(*_COLUMNS).alias("a"))
+    right = _keys(places.where("of_seed"), True).select("_key", F.col("place").alias("r_place"), F.struct(*_COLUMNS).alias("b"))
     same = F.pandas_udf(_same_batch, "boolean")
-    pairs = left.join(right, "_key").dropDuplicates(["l_place", "r_place"]).where(same("a", "b")).select("l_place", "r_place")
+    pairs = keyed_join(left, right, ["_key"]).dropDuplicates(["l_place", "r_place"]).where(same("a", "b")).select("l_place", "r_place")
     pairs = cut(pairs)
     by_text = p.select("h1", "h2", "place")
     s_place = cut(s.select("seed_id", *hashes).join(by_text, ["h1", "h2"]).select("seed_id", "place"))
