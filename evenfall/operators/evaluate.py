@@ -90,8 +90,13 @@ def scorecard(scores: DataFrame, by: list[str]) -> DataFrame:
 
 
 def regressions(before: DataFrame, now: DataFrame) -> DataFrame:
-    """case_id, worse, better: failures (arrays of paths) that are new, and those that are gone; cases without either have no row."""
-    j = before.select("case_id", F.col("failures").alias("_b")).join(now.select("case_id", F.col("failures").alias("_n")), "case_id")
+    """case_id, worse, better: failures (arrays of paths) that are new, and those that are gone; cases without either have no row.
+
+    All failures of a case that only one side has are new, or gone. Null failures are none.
+    """
+    none = F.array().cast("array<string>")
+    j = before.select("case_id", F.col("failures").alias("_b")).join(now.select("case_id", F.col("failures").alias("_n")), "case_id", "full_outer")
+    j = j.select("case_id", F.coalesce("_b", none).alias("_b"), F.coalesce("_n", none).alias("_n"))
     out = j.select("case_id", F.array_sort(F.array_except("_n", "_b")).alias("worse"), F.array_sort(F.array_except("_b", "_n")).alias("better"))
     return out.where((F.size("worse") > 0) | (F.size("better") > 0))
 

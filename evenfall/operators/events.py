@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from evenfall.functions import hashing, text
 from evenfall.runtime import keyed_join
@@ -145,13 +146,35 @@ def away_games(events: DataFrame, page: str = "listing_url") -> DataFrame:
     return df.withColumn("drop_reason", F.when(F.col("_home") & F.col("drop_reason").isNull(), F.lit("away_game")).otherwise(F.col("drop_reason"))).drop("_team", "_home")
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, on: list[str], left_at: str, right_at: str, left_id: str, right_id: str) -> DataFrame:
-    """left_id, right_id, seconds: for each left row the right row of the same key that is nearest in time, either way; ties by right_id."""
-    r = right.select(*on, F.col(right_id).alias("_rid"), F.col(right_at).alias("_rat"))
-    joined = left.select(*on, F.col(left_id).alias("_lid"), F.col(left_at).alias("_lat")).join(r, on)
-    gap = F.abs(F.unix_seconds(F.col("_lat")) - F.unix_seconds(F.col("_rat")))
-    best = joined.withColumn("_gap", gap).where("_gap IS NOT NULL").groupBy("_lid").agg(F.min(F.struct("_gap", "_rid")).alias("b"))
-    return best.select(F.col("_lid").alias(left_id), F.col("b._rid").alias(right_id), F.col("b._gap").alias("seconds"))
+#: Rows of a key are sorted in buckets of so many seconds.
+BUCKET = 7 * 86_400
+
+
+def nearest_in_time(left: DataFrame, right: DataFrame, on: list[str], left_at: str, right_at: str, left_id: str, right_id: str, bucket: int = BUCKET) -> DataFrame:
+    """left_id, right_id, seconds: for each left row the right row of the same key that is nearest in time, either way; ties by right_id.
+
+    Both sides are sorted together by time, within buckets of it, so a key with very many rows is no single task's; what a bucket
+    doesn't hold comes from the last right row of the buckets before, and the first of those behind. No rows are paired. Null keys and times have no row.
+    """
+    at = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    none = F.lit(None).cast(f"struct<at:bigint,id:{right.schema[right_id].dataType.simpleString()}>")
+    keyed = F.lit(True)
+    for c in on:
+        keyed = keyed & F.col(c).isNotNull()
+    r = right.where(keyed & F.col(right_at).isNotNull()).groupBy(*on, at(right_at).alias("_at")).agg(F.min(right_id).alias("_id"))
+    r = r.select(*on, "_at", F.lit(None).cast(left.schema[left_id].dataType).alias("_lid"), F.struct(F.col("_at").alias("at"), F.col("_id").alias("id")).alias("_r"))
+    mine = left.where(keyed & F.col(left_at).isNotNull()).select(*on, at(left_at).alias("_at"), F.col(left_id).alias("_lid"), none.alias("_r"))
+    u = mine.unionByName(r).withColumn("_b", F.floor(F.col("_at") / bucket))
+    ends = u.where("_r IS NOT NULL").groupBy(*on, "_b").agg(F.min("_r").alias("_first"), F.max("_r").alias("_last"))
+    buckets = u.select(*on, "_b").distinct().join(ends, [*on, "_b"], "left")
+    w = Window.partitionBy(*on).orderBy("_b")
+    buckets = buckets.select(*on, "_b", F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_behind"))
+    w = Window.partitionBy(*on, "_b").orderBy("_at", F.col("_r").isNull())  # of the same time, right rows first
+    u = u.withColumn("_p", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    j = u.where("_lid IS NOT NULL").join(buckets, [*on, "_b"])
+    near = lambda c: F.when(c.isNotNull(), F.struct(F.abs(c["at"] - F.col("_at")).alias("gap"), c["id"].alias("id")))
+    best = F.array_min(F.array_compact(F.array(near(F.coalesce("_p", "_before")), near(F.coalesce("_n", "_behind")))))
+    return j.select(F.col("_lid").alias(left_id), best.alias("_best")).where("_best IS NOT NULL").select(left_id, F.col("_best.id").alias(right_id), F.col("_best.gap").alias("seconds"))
 
 
 def other_days(rdates: Column, start: Column, end: Column) -> Column:

@@ -36,15 +36,18 @@ def page_links(links: DataFrame, page_id: str) -> DataFrame:
 def without_nested(scored: DataFrame, page_id: str, link: str = "link") -> DataFrame:
     """Without links that lie under another kept link of the same page: the listing stays, its entries go.
 
-    A page's links are looked up by the paths above them, so no two links of a page are paired.
+    A page's links come together in an array, where each is looked up by the paths above it, so no two links of a page are paired and
+    the links are made only once.
     """
     key = urls.page_key(F.col(link))
     parts = F.split(F.regexp_extract(key, r"^[a-z]+://(.*)$", 1), "/")
     scheme = F.regexp_extract(key, r"^([a-z]+://)", 1)
     above = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(parts) - 1)), lambda n: F.concat(scheme, F.array_join(F.slice(parts, F.lit(1), n), "/")))
-    d = scored.withColumn("_key", key)
-    up = d.where(F.size(parts) > 1).select(page_id, link, F.explode(above).alias("_key")).join(d.select(page_id, "_key").distinct(), [page_id, "_key"], "left_semi").select(page_id, link).distinct()
-    return d.join(up, [page_id, link], "left_anti").drop("_key")
+    above = F.when(F.size(parts) > 1, above).otherwise(F.array().cast("array<string>"))
+    rest = [c for c in scored.columns if c != page_id]
+    pages = scored.groupBy(page_id).agg(F.collect_list(F.struct(F.struct(*rest).alias("row"), key.alias("key"), above.alias("above"))).alias("_links"), F.collect_set(key).alias("_keys"))
+    kept = F.filter("_links", lambda x: ~F.coalesce(F.arrays_overlap(x["above"], F.col("_keys")), F.lit(False)))
+    return pages.select(page_id, F.explode(F.transform(kept, lambda x: x["row"])).alias("_row")).select(page_id, "_row.*").select(*scored.columns)
 
 
 def events_pages(links: DataFrame, page_id: str, top: int = TOP) -> DataFrame:

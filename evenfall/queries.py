@@ -15,7 +15,7 @@ from evenfall.functions import html as pages_html
 from evenfall.operators import evaluate, events, extract, geo, incremental, links, times
 from evenfall.plans import crawl, finalise
 from evenfall.plans.pages import page_events
-from evenfall.runtime import cut, spread, table
+from evenfall.runtime import cut, shared_folder, spread, table
 from evenfall.sources import feeds, platforms
 
 QUERIES: dict = {}
@@ -685,21 +685,12 @@ def q_local_times_rows(spark, sf_dir):
 
 # Streams
 
-@query("""SELECT fingerprint, max(event_id) AS event_id FROM event_items WHERE fingerprint IS NOT NULL GROUP BY fingerprint""")
+@query("""SELECT fingerprint, event_id FROM event_items WHERE fingerprint IS NOT NULL QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY crawled_at DESC NULLS LAST, event_id DESC) = 1""")
 def q_stream_upsert(spark, sf_dir):
     from evenfall.streaming import ingest
 
-    folder = _shared_folder(spark)
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     path = f"{sf_dir}/event_items.parquet"
     q = ingest.run_upsert(ingest.read(spark, path, spark.read.parquet(path).schema, files=1000), f"{folder}/table", f"{folder}/checkpoint")
     q.awaitTermination()
-    last = q.lastProgress["batchId"] if q.lastProgress else 0
-    return spark.read.parquet(f"{folder}/table/v={last}").select("fingerprint", "event_id")
-
-
-def _shared_folder(spark) -> str:
-    """A new folder in the one that the cluster shares; a temporary one only where none is named."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evenfall-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return ingest.upserted(spark, f"{folder}/table").select("fingerprint", "event_id")

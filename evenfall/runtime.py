@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 
@@ -38,14 +39,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared checkpoint folder (spark.checkpoint.dir; a temporary one only where none is set)."""
+    """Cut the lineage through the shared checkpoint folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evenfall-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the one that spark.checkpoint.dir names. Without it there is none on a cluster; where all runs on
+    one machine in one process, as in tests, a temporary one serves."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="evenfall-")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan that comes in fewer partitions than there are cores is dealt out to all of them, for work that costs more than moving its rows.
 

@@ -1,4 +1,6 @@
-from datetime import datetime
+from datetime import datetime, timedelta
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -90,8 +92,20 @@ def test_streams(spark, tmp_path):
     src = lambda: ingest.read(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, files=1)
     q = ingest.run_upsert(src(), str(tmp_path / "table"), str(tmp_path / "c1"))
     q.awaitTermination()
-    last = spark.read.parquet(str(tmp_path / "table" / f"v={q.lastProgress['batchId']}"))
-    assert {(r["fingerprint"], r["event_id"]) for r in last.collect()} == {("a", 3), ("b", 2), ("c", 4)}
+    assert {(r["fingerprint"], r["event_id"]) for r in ingest.upserted(spark, str(tmp_path / "table")).collect()} == {("a", 3), ("b", 2), ("c", 4)}
+    # batches one by one: a late row doesn't win, a batch that runs again changes nothing, and bases take in what came before
+    write = ingest.upsert_to(str(tmp_path / "t2"), compact=2)
+    batches = [[(1, "a", "s", at(5))], [(2, "a", "s", at(3)), (3, "b", "s", None)], [(4, "b", "s", at(1)), (5, None, "s", at(9))], [(6, "c", "s", at(2))], [(7, "a", "s", at(5))]]
+    for n, rows in enumerate(batches):
+        for _ in range(2):
+            write(spark.createDataFrame(rows, schema), n)
+    assert {(r["fingerprint"], r["event_id"]) for r in ingest.upserted(spark, str(tmp_path / "t2")).collect()} == {("a", 7), ("b", 4), ("c", 6)}
+    assert ingest._numbers(spark, str(tmp_path / "t2" / "base")) == [1, 3] and ingest._numbers(spark, str(tmp_path / "t2" / "batch")) == [2, 3, 4]
+    with pytest.raises(ValueError, match="no table"):
+        ingest.upserted(spark, str(tmp_path / "t3"))
+    for n, stream in enumerate((ingest.per_window(src()), ingest.per_session(src()))):
+        ingest.run(stream, str(tmp_path / f"w{n}"), str(tmp_path / f"cw{n}")).awaitTermination()
+        assert spark.read.schema(stream.schema).parquet(str(tmp_path / f"w{n}")).count() <= 4
     ingest.run(ingest.first_of_each(src()), str(tmp_path / "first"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "first")).count() == 3
 
@@ -118,3 +132,24 @@ def test_queries_over_all_rows(spark, tmp_path):
     assert len(got("q_evidence")) < len(made)
     assert got("q_end_after_start_rows") == {1: "2026-05-04T22:30:00Z", 2: "2026-05-05T03:00:00Z", 3: "2026-05-05", 4: None, 5: "2026-05-06T10:00:00Z", 6: None, 7: "2026-05-08"}
     assert got("q_local_times_rows") == {1: "2026-05-03T20:00", 2: "2026-05-04T20:00", 3: "2026-05-05", 4: "soon", 5: None, 6: "2026-05-07T16:00", 7: "2026-05-08T16:00"}
+
+
+def test_nearest_in_time_as_brute_force(spark):
+    import random
+
+    from evenfall.operators import events
+
+    r = random.Random(1)
+    at = lambda: None if r.random() < 0.05 else datetime(2026, 1, 1) + timedelta(minutes=r.randrange(0, 60 * 24 * 40, 30))
+    left = [(i, r.choice(["a", "a", "b", None, "z"]), at()) for i in range(200)]
+    right = [(f"r{i:03d}", r.choice(["a", "a", "a", "b", None]), at()) for i in range(60)]
+    d = spark.createDataFrame(left, "lid long, k string, t timestamp_ntz"), spark.createDataFrame(right, "rid string, k string, u timestamp_ntz")
+    want = {}
+    for i, k, t in left:
+        found = [(abs((u - t).total_seconds()), rid) for rid, q, u in right if k is not None and k == q and t and u]
+        if found:
+            want[i] = min(found)
+    for bucket in (3600, 7 * 86_400):
+        got = {x["lid"]: (x["seconds"], x["rid"]) for x in events.nearest_in_time(*d, ["k"], "t", "u", "lid", "rid", bucket).collect()}
+        assert got == want
+    assert events.nearest_in_time(d[0], d[1].limit(0), ["k"], "t", "u", "lid", "rid").count() == 0
