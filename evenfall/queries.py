@@ -694,3 +694,6 @@ def q_stream_upsert(spark, sf_dir):
     q = ingest.run_upsert(ingest.read(spark, path, spark.read.parquet(path).schema, files=1000), f"{folder}/table", f"{folder}/checkpoint")
     q.awaitTermination()
     return ingest.upserted(spark, f"{folder}/table").select("fingerprint", "event_id")
+
+
+from evenfall import queries_runs  # noqa: E402, F401  # adds its queries to these
