@@ -105,7 +105,7 @@ def solve(counts: dict[int, int], capacity: int) -> Plan:
                 rest[i] -= a * whole
     rounded = int(n.sum() - rest.sum())
     dive(sizes, rest, out, capacity)
-    return Plan([({int(sizes[i]): a for i, a in key}, times) for key, times in out.items()], max(value, least), least, rounded)
+    return Plan([({int(sizes[i]): a for i, a in key}, times) for key, times in out.items()], float(max(value, least)), float(least), rounded)
 
 
 def fullest(sizes: list[int], left: list[int], capacity: int, first: int) -> dict[int, int]:
