@@ -31,10 +31,9 @@ WORSE = {"words": -1, "mean_word_length": 1, "symbol_ratio": 1, "digit_ratio": 1
 SCORE_STEPS, APART = 1000, 0.8
 # What text decoded with the wrong character set is full of.
 _GARBLED = re.compile(r"[ÃÂ][\u0080-¿Œ-Ÿ‚-›€\s]|â‚¬|â€|Ã.|Â|ï¿½|�")
+_GARBLES = "ÃÂâï�"
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _TOKEN = re.compile(r"\w+(?:['’]\w+)*")
-#: Neither letter, digit nor white space.
-_MARK = re.compile(r"[^\w\s]|_")
 _END = re.compile(r"[.!?…][\"'”’)\]]*$")
 _DIGIT = re.compile(r"\d+")
 _CLOSING = "\"'”’)]"
@@ -63,15 +62,17 @@ def units(text: str) -> list[str]:
 
 def is_sentence(unit: str, common: frozenset[str]) -> bool:
     """A unit that reads like part of prose: enough words, some of them common, few figures, symbols and capitals."""
+    if unit.count("\t") > 1 or unit.count("|") > 1 or unit.count("»") > 1:
+        return False
     tokens = _TOKEN.findall(unit)
     words = [t for t in tokens if not t[0].isdigit()]
-    n = len(words)
-    if n < 5 or len(tokens) - n > 0.2 * len(tokens) or unit.count("\t") > 1 or unit.count("|") > 1 or unit.count("»") > 1:
+    n, marks = len(words), len(unit) - unit.count(" ") - len("".join(tokens))
+    if n < 5 or len(tokens) - n > 0.2 * len(tokens) or marks > 0.14 * len(unit):
         return False
     known = sum(map(common.__contains__, map(str.lower, words))) / n
-    if known < 0.12 or len(_MARK.findall(unit)) > 0.14 * len(unit):
+    if known < 0.12:
         return False
-    titled = sum(w[0].isupper() and not w.isupper() for w in words[1:]) / (n - 1)
+    titled = sum(map(str.istitle, words[1:])) / (n - 1)
     if unit.rstrip(_CLOSING)[-1:] in (".", "!", "?", "…"):
         return titled < 0.6 or known >= 0.2
     return n >= 8 and known >= 0.18 and titled < 0.6 and unit.count(",") < 0.4 * n
@@ -107,7 +108,7 @@ def statistics(text: str | None, common: frozenset[str]) -> tuple:
         sum(x.rstrip(_CLOSING)[-1:] in (".", "!", "?", "…") for x in lines) / len(lines) if lines else 0.0,
         sum(map(common.__contains__, map(str.lower, words))) / n if n else 0.0,
         prose / whole if whole else 0.0,
-        min(1.0, len(_GARBLED.findall(t)) / n) if n else 0.0,
+        min(1.0, len(_GARBLED.findall(t)) / n) if n and any(map(t.__contains__, _GARBLES)) else 0.0,
         list(map(len, words)).count(1) / n if n else 0.0,
     )
 
