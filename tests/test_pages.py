@@ -66,3 +66,16 @@ def test_queries_over_the_tables_own_pages_and_texts(spark, tmp_path):
     words = {r["event_id"]: r for r in rows("q_event_words")}
     assert set(words) == {1, 2, 3, 4} and words[1]["clock"] == "19:30" and words[2]["start"] == "2026-06-03T19:00:00" and words[2]["rdates"] == "2026-06-10T19:00:00,2026-06-17T19:00:00"
     assert (words[3]["freq"], words[3]["byday"]) == ("weekly", "MO") and words[4]["clock"] is None and words[4]["freq"] is None
+
+
+def test_event_records(spark):
+    from evenfall.plans.pages import event_records
+
+    page = '<html><body><h1>Songs</h1><script type="application/ld+json">{"@type":"Event","name":"Songs","startDate":"2026-06-05T20:00:00","endDate":"2026-06-05T01:00:00"}</script></body></html>'
+    context = "struct<location_title:string,location_address:string,location_lat:double,location_lon:double,venue_type:string,timezone:string>"
+    rows = [(1, "https://hall.example/e/1", page, "2026-05-01T00:00:00Z", (None, None, None, None, None, "America/New_York")), (2, "https://hall.example/e/2", page, None, (None, None, None, None, None, "America/New_York")), (3, "https://x.example", None, None, None)]
+    d = spark.createDataFrame(rows, f"case_id long, url string, html string, captured_at string, seed_context {context}")
+    got = {r["case_id"]: r for r in event_records(d).collect()}
+    assert got[1]["start_datetime"] == "2026-06-06T00:00:00Z" and got[1]["end_datetime"] == "2026-06-06T05:00:00Z" and got[1]["drop_reason"] is None
+    assert got[2]["drop_reason"] == "duplicate_in_run" and got[2]["fingerprint"] == got[1]["fingerprint"] and 3 not in got
+    assert event_records(d.limit(0)).count() == 0
