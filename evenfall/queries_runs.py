@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evenfall.functions import urls
-from evenfall.operators import incremental, runs
+from evenfall.functions import pagetext, urls
+from evenfall.operators import evaluate, incremental, links, runs
+from evenfall.plans import crawl
 from evenfall.queries import _STATES, query
 from evenfall.runtime import table
+from evenfall.sources import feeds
 
 _KEY = "regexp_replace(regexp_replace({0}, '#.*$', ''), '/+$', '')"
 
@@ -131,3 +133,64 @@ def q_missed_changes(spark, sf_dir):
 def q_distinct_in_order(spark, sf_dir):
     e = table(spark, sf_dir, "event_items")
     return e.select("event_id", F.array_join(F.array_distinct(F.array_compact(F.coalesce("tag_names", F.array().cast("array<string>")))), "|").alias("tags"))
+
+
+@query(r"""WITH u AS (SELECT source_id, homepage_url, regexp_extract(homepage_url, '^([a-z]+://[^/?#]+)', 1) AS home FROM sources)
+SELECT source_id, CASE WHEN length(homepage_url) % 2 = 0 THEN home || '/a.xml ' || home || '/b.xml' ELSE home || '/sitemap.xml' END AS roots FROM u""")
+def q_sitemap_roots(spark, sf_dir):
+    home = F.regexp_extract("homepage_url", r"^([a-z]+://[^/?#]+)", 1)
+    robots = F.when(F.length("homepage_url") % 2 == 0, F.concat(F.lit("User-agent: *\nSitemap: "), home, F.lit("/a.xml\n  sitemap :"), home, F.lit("/b.xml \r\nSITEMAP: "), home, F.lit("/a.xml"))).otherwise(F.lit("Disallow: /"))
+    return table(spark, sf_dir, "sources").select("source_id", F.array_join(feeds.sitemap_roots(robots, F.col("homepage_url")), " ").alias("roots"))
+
+
+@query("""SELECT event_id, 'https://x.example/' || CASE k WHEN 0 THEN 'Events' WHEN 1 THEN 'pages' ELSE 'show' END || event_id || '.xml' AS loc, CASE k WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 2 END AS rank FROM event_items, (SELECT unnest([0, 1, 2]) AS k)""")
+def q_sitemap_children(spark, sf_dir):
+    n = F.col("event_id").cast("string")
+    body = F.concat(F.lit("<sitemapindex><sitemap><loc>https://x.example/Events"), n, F.lit(".xml</loc></sitemap><sitemap><loc>https://x.example/pages"), n, F.lit(".xml</loc></sitemap><sitemap><loc>https://x.example/show"), n, F.lit(".xml</loc></sitemap></sitemapindex>"))
+    m = table(spark, sf_dir, "event_items").select("event_id", body.alias("body"))
+    return feeds.sitemap_children(feeds.sitemap_entries(m, "event_id"), "event_id")
+
+
+@query("""SELECT area_id, lat - radius_km / 111.0 AS south, lon - radius_km / 111.0 / cos(radians(lat)) AS west, lat + radius_km / 111.0 AS north, lon + radius_km / 111.0 / cos(radians(lat)) AS east FROM search_areas""")
+def q_area_boxes(spark, sf_dir):
+    a = table(spark, sf_dir, "search_areas")
+    return a.select("area_id", feeds.area_box(F.col("lat"), F.col("lon"), F.col("radius_km")).alias("b")).select("area_id", "b.*")
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'Songs' || chr(10) || 'All of it' ELSE 'Songs' || chr(10) || CASE event_id % 3 WHEN 1 THEN '' ELSE 'Previous' || chr(10) || 'no date here' || chr(10) || 'Other show' || chr(10) END || 'All of it' END AS text FROM event_items""")
+def q_without_pagers(spark, sf_dir):
+    k = F.col("event_id") % 3
+    text = F.when(k == 0, F.lit("Songs\nAll of it")).when(k == 1, F.lit("Songs\n« Previous event\nMay 4 at 8\nOther show\nAll of it")).otherwise(F.lit("Songs\nPrevious\nno date here\nOther show\nAll of it"))
+    return table(spark, sf_dir, "event_items").select("event_id", pagetext.without_pager(text).alias("text"))
+
+
+@query("""SELECT event_id, length(coalesce(description, '')) >= 50 OR (contains(coalesce(end_datetime, ''), 'T') AND event_id % 2 = 0) OR event_id % 5 = 0 AS added FROM event_items""")
+def q_added_info(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items")
+    before = F.when(F.col("event_id") % 2 == 0, F.lit("2026-01-01")).otherwise(F.lit("2026-01-01T10:00"))
+    return e.select("event_id", pagetext.added_info(F.lit(None).cast("string"), F.col("description"), before, F.col("end_datetime"), F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)).alias("added"))
+
+
+@query(f"""WITH s AS ({_STATES}) SELECT DISTINCT source_id, fingerprint FROM (SELECT source_id, fingerprint FROM event_items WHERE event_id % 2 = 0 AND source_id IS NOT NULL UNION ALL SELECT source_id, unnest(fingerprints) FROM s WHERE length(url) % 3 = 0 AND source_id IS NOT NULL) WHERE fingerprint IS NOT NULL""")
+def q_still_listed(spark, sf_dir):
+    e, states = table(spark, sf_dir, "event_items"), table(spark, sf_dir, "page_states")
+    routes = e.select("source_id", "event_id", F.when(F.col("event_id") % 2 == 0, "emit").otherwise("follow").alias("route"), F.lit(None).cast("string").alias("detail_url"))
+    skipped = states.where("length(url) % 3 = 0").select("source_id", F.lit(None).cast("long").alias("event_id"), F.lit("skip").alias("route"), F.col("url").alias("detail_url")).distinct()
+    return crawl.still_listed(e, routes.unionByName(skipped), states)
+
+
+@query("""SELECT event_id, coalesce(list_sort(list_distinct(list_transform(coalesce(tag_names, []), lambda x: x))), []) = [] OR event_id % 2 = 0 AS same FROM event_items""")
+def q_same_sets(spark, sf_dir):
+    e = table(spark, sf_dir, "event_items")
+    none = F.array().cast("array<string>")
+    tags = F.array_compact(F.coalesce("tag_names", none))
+    other = F.when(F.col("event_id") % 2 == 0, F.concat(F.reverse(tags), F.transform(tags, F.upper))).otherwise(none)
+    return e.select("event_id", evaluate.same_set(tags, other).alias("same"))
+
+
+@query("""SELECT source_id, homepage_url || '/events/' AS link FROM sources""")
+def q_events_pages_of_sitemaps(spark, sf_dir):
+    s = table(spark, sf_dir, "sources")
+    paths = F.array(*[F.lit(x) for x in ("/events/", "/events/2026/jam", "/about", "/events/")])
+    entries = s.select("source_id", F.explode(F.transform(paths, lambda x: F.concat("homepage_url", x))).alias("loc"))
+    return links.events_pages_of_sitemap(entries, "source_id").select("source_id", "link")
