@@ -35,6 +35,8 @@ MINIMA, MAX_DIFFERENT = 64, 41
 HOT_SAMPLE, HOT_COUNT, MOST_HOT = 100, 50, 500
 #: Records meet in time slots of so many windows.
 SLOT = 3
+#: Texts that are sketched at a time: their rows of hash values stay in the processor's cache.
+CHUNK = 50
 #: Base of the registers' scale, and the largest value of one (a byte).
 BASE, TOP = 1.1, 254
 #: Estimates may fall short of the threshold by so many standard deviations of the estimator.
@@ -146,8 +148,8 @@ def _sketch_batch(text: pd.Series) -> pd.DataFrame:
 
     hasher = _HASHERS.setdefault("h", Hasher())
     out = []
-    for at in range(0, len(text), 250):
-        tokens = [words(t) for t in text[at : at + 250]]
+    for at in range(0, len(text), CHUNK):
+        tokens = [words(t) for t in text[at : at + CHUNK]]
         full = [i for i, t in enumerate(tokens) if t]
         least = hasher.minima([elements(tokens[i]) for i in full]) if full else np.empty((0, REGISTERS), np.uint32)
         regs = registers(least)
