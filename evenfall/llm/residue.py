@@ -11,9 +11,10 @@ positives, all others are unlabelled. A naive Bayes model of the two classes is
 Every passage of every field is scored by the model alone, trusted wording or not, and the passages of a field are aggregated: a field is
 residue if it is more likely than not that at least one of its passages is.
 
-The model is fitted on bounded samples: SAMPLE_ROWS rows of each stratum (titles, short and long descriptions), drawn by hash, and the
-TRUSTED_FIELDS most frequent texts that open with trusted wording or hold template code, which are looked for in all rows. Shares of the classes are weighted to the
-whole table, so the model doesn't depend on its size. Scoring covers all fields whole.
+The model is fitted on bounded samples: SAMPLE_ROWS rows of each stratum (titles, short and long descriptions), drawn by hash, and
+TRUSTED_FIELDS texts that open with trusted wording or hold template code, which are looked for in all rows and drawn by priority, so each
+stands for as many rows as it should whether texts are often repeated or never. Shares of the classes are weighted to the whole table, so
+the model doesn't depend on its size. Scoring covers all fields whole.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ PRIOR_WEIGHT = 50.0
 MOST_ODDS = 6.5
 #: Words that occur less often in the sample are taken by their kind.
 LEAST = 3
-#: Fields that trusted texts are counted per.
-RATE = 500_000
+#: Fields that trusted texts are counted per, and the rows of them below which they aren't thinned so.
+RATE, ENOUGH = 500_000, 1_000
 
 # Syntax of template languages, mail merges and formatting.
 SPAN = re.compile(
@@ -158,7 +159,7 @@ def fit(fields: list[tuple[str, bool, float, float]], *, kinds: dict[str, str] =
     for text, title, rows, rate in fields:
         for x, ok in passages(text, title, wording):
             known[x] = known.get(x, False) or ok
-            often[x] = often.get(x, 0.0) + (max(1.0, rate) if ok else 1.0)
+            often[x] = often.get(x, 0.0) + (rate if ok and rate else 1.0)
             stands[x] = stands.get(x, 0.0) + rows
     if not known or not any(known.values()):
         return {}, -50.0
@@ -176,7 +177,8 @@ def fit(fields: list[tuple[str, bool, float, float]], *, kinds: dict[str, str] =
     at, start_ = np.array(index), np.array(start)
     length = np.diff(np.append(start_, len(at)))
     sure = np.array(list(known.values()))
-    weight = np.sqrt(np.array(list(often.values())))  # a passage that many records share is less than as many passages
+    n = np.array(list(often.values()))
+    weight = np.minimum(n, np.sqrt(n))  # a passage that many records share is less than as many passages
     size = np.array(list(stands.values()))
     background = np.bincount(at, weights=np.repeat(weight, length), minlength=len(number)) + 0.05
     background /= background.sum()
@@ -277,17 +279,22 @@ def learn(fields: DataFrame, *, kinds: dict[str, str] = KINDS, rounds: int = ROU
     # a row is drawn by its own hash, so the same ones are, however the table is partitioned
     draw = F.pmod(F.xxhash64("event_id", "field_name"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     share = F.create_map(*[x for s, n in sizes.items() for x in (F.lit(s), F.lit(min(1.0, SAMPLE_ROWS / n)))])
-    drawn = f.where(draw < share[F.col("stratum")]).select("stratum", "text").limit(4 * SAMPLE_ROWS).collect()
+    drawn = f.where(draw < share[F.col("stratum")]).select("stratum", "text", trusted_text(kinds).alias("trusted")).limit(4 * SAMPLE_ROWS).collect()
     taken = {s: sum(r["stratum"] == s for r in drawn) for s in sizes}
-    found = f.where(trusted_text(kinds)).groupBy("field_name", "text").agg(F.count(F.lit(1)).alias("n"))
-    found = found.orderBy(F.desc("n"), F.xxhash64("text"), "field_name").limit(TRUSTED_FIELDS).collect()
-    total = sum(sizes.values())
+    # priorities: of the texts with the greatest n / u, u uniform by the text's hash, each stands for n rows, or for the first priority
+    # that is left out if that is more. This estimates the rows of every kind of text without bias
+    u = (F.pmod(F.xxhash64("text", "field_name"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40))
+    found = f.where(trusted_text(kinds)).groupBy("field_name", "text").agg(F.count(F.lit(1)).alias("n")).withColumn("priority", F.col("n") / u)
+    found = found.orderBy(F.desc("priority"), "text", "field_name").limit(TRUSTED_FIELDS + 1).collect()
+    least = found.pop()["priority"] if len(found) > TRUSTED_FIELDS else 0.0
+    trusted = {(r["text"], r["field_name"] == "title"): max(float(r["n"]), least) for r in found}
+    thin = max(1.0, min(sum(sizes.values()) / RATE, sum(trusted.values()) / ENOUGH))
     rows: dict[tuple[str, bool], tuple[float, float]] = {}
     for r in drawn:
-        k = (r["text"], r["stratum"] == "title")
-        rows[k] = (rows.get(k, (0.0, 0.0))[0] + sizes[r["stratum"]] / taken[r["stratum"]], 0.0)
-    for r in found:
-        rows[r["text"], r["field_name"] == "title"] = (float(r["n"]), r["n"] * RATE / max(total, RATE))
+        if not r["trusted"]:  # the others are represented by those found
+            k = (r["text"], r["stratum"] == "title")
+            rows[k] = (rows.get(k, (0.0, 0.0))[0] + sizes[r["stratum"]] / taken[r["stratum"]], 0.0)
+    rows |= {k: (n, n / thin) for k, n in trusted.items()}
     return fit(sorted((t, title, n, rate) for (t, title), (n, rate) in rows.items()), kinds=kinds, rounds=rounds)
 
 

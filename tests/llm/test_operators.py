@@ -175,6 +175,25 @@ def test_residue(spark):
     assert residue.residue_fields(e.limit(0)).count() == 0
 
 
+def test_residue_is_learnt_alike_at_every_size(spark, monkeypatch):
+    real, bad = residue_sample()
+    r = random.Random(3)
+    filler = "dolor sit amet elit magna aliqua veniam nisi tempor labore".split()
+
+    def found(copies):
+        """Of the same notices, in a table of so many copies with filler that is never the same."""
+        texts = [t for t, x in real if not x] * copies + [t for t, _ in bad] * copies + [f"Lorem ipsum {' '.join(r.sample(filler, 8))}." for _ in range(8 * copies)]
+        e = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "event_id long, title string, description string")
+        score = residue.Scorer(residue.learn(residue.fields_of(e), kinds={"filler": residue.KINDS["filler"], "page": r"sorry, the page could not be found"})).score
+        assert not any(score(t, False) > 0 for t, x in real if not x)
+        return sum(score(t, False) > 0 for t, _ in bad)
+
+    for name, value in (("SAMPLE_ROWS", 2_000), ("TRUSTED_FIELDS", 300), ("RATE", 1_000), ("ENOUGH", 30)):
+        monkeypatch.setattr(residue, name, value, raising=False)
+    small = found(1)
+    assert small > 0.9 * len(bad) and found(40) > 0.7 * small
+
+
 def test_whole_texts_are_scored():
     real, bad = residue_sample()
     fields = [*real, *bad, *((f"Songs by {{{{{x}}}}}.", False) for x in ("artist", "venue", "title", "price", "name"))]
