@@ -7,13 +7,16 @@ similarity, so bands of registers, together with the time slot of the record, ar
 a look at two bits of each of many minima, then the likelihood of its registers, jointly with both set sizes, gives an estimate of
 the similarity, and what may reach the threshold is verified exactly on the words.
 
-Texts with the same words are one class throughout; classes are expanded to records at the very end, by time.
+Texts with the same words are one class throughout; classes are expanded to records at the very end, by time. What costs much to ask of
+a record, as whether it is residue, is asked only of those that may have a pair.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -61,34 +64,46 @@ def element_hash(word: str, occurrence: int) -> int:
     return xxhash.xxh64_intdigest(word, seed=occurrence)
 
 
+class Numbers(dict):
+    """The row that an element has in a table; new elements get the next ones and are noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, element) -> int:
+        self.new.append(element)
+        n = self[element] = len(self)
+        return n
+
+
 class Hasher:
     """Hash values of elements for every register, kept for the elements seen lately."""
 
     def __init__(self, most: int = 60_000) -> None:
         self.most = most
-        self.rows: dict = {}
+        self.rows = Numbers()
         self.table = np.empty((1024, REGISTERS), dtype=np.uint32)
 
     def add(self, new: list) -> None:
-        at = len(self.rows)
-        while at + len(new) > len(self.table):
+        """The values of the elements numbered last."""
+        at = len(self.rows) - len(new)
+        while len(self.rows) > len(self.table):
             self.table = np.concatenate([self.table, np.empty_like(self.table)])
         h = np.array([element_hash(*e) if isinstance(e, tuple) else element_hash(e, 0) for e in new], dtype=np.uint64)
         with np.errstate(over="ignore"):
             self.table[at : at + len(new)] = (_mix(h[:, None] * _A[None, :] + (_A[None, :] >> np.uint64(17))) >> np.uint64(32)).astype(np.uint32)
-        self.rows.update(zip(new, range(at, at + len(new))))
 
     def minima(self, texts: list[list]) -> np.ndarray:
         """The least hash value of each text's elements for every register; no text may be empty."""
         if len(self.rows) > self.most:
             self.rows.clear()
-        flat = [e for t in texts for e in t]
-        new = set(flat).difference(self.rows)
-        if new:
-            self.add(list(new))
-        ids = list(map(self.rows.__getitem__, flat))
-        starts = np.cumsum([0, *map(len, texts[:-1])])
-        return np.minimum.reduceat(self.table[ids], starts, axis=0)
+        lengths = list(map(len, texts))
+        ids = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(texts)), np.intp, sum(lengths))
+        if self.rows.new:
+            self.add(self.rows.new)
+            self.rows.new = []
+        return np.minimum.reduceat(self.table.take(ids, axis=0), np.cumsum([0, *lengths[:-1]]), axis=0)
 
 
 def elements(tokens: list[str]) -> list:
@@ -190,11 +205,12 @@ def slot_of(length: int):
     return F.expr(f"(at - pmod(at, {length})) div {length}")
 
 
-def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window: int) -> DataFrame:
+def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window: int, counts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(id_a, id_b), id_a < id_b: records with at least that similarity whose times are at most window seconds apart.
 
     records: id LONG unique, at LONG (seconds), text STRING; texts: id and text of the same records (and maybe others), cheap to make
-    again, as texts are looked at twice rather than kept. Null ids, times and texts, and texts without a word have no pairs.
+    again, as texts are looked at again rather than kept. Null ids, times and texts, and texts without a word have no pairs.
+    counts: adds the column counts to rows of texts, whether pairs of the record count; null is no. All count without it.
     """
     sketch = F.pandas_udf(_sketch_batch, _SKETCH)
     r = records.where("id IS NOT NULL AND at IS NOT NULL AND text IS NOT NULL").select("id", "at", sketch("text").alias("k"))
@@ -227,11 +243,17 @@ def similar_pairs(records: DataFrame, texts: DataFrame, threshold: float, window
     pairs = pairs.join(classes.select(F.col("rep").alias("a"), F.col("sketch").alias("xa"), F.col("size").alias("na")), "a")
     pairs = pairs.join(classes.select(F.col("rep").alias("b"), F.col("sketch").alias("xb"), F.col("size").alias("nb")), "b")
     pairs = cut(pairs.where(likely("xa", "xb", "na", "nb")).select("a", "b"))
+    # the texts of classes that may be similar, and of copies
+    copies = classes.where("members > 1").select("rep")
+    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(copies).distinct()
+    texts = texts.join(members.join(reps, "rep").select("id"), "id", "left_semi")
+    texts = cut((counts(texts) if counts else texts.withColumn("counts", F.lit(True))).select("id", "text", "counts"))
     same = F.pandas_udf(_same_batch(threshold), "boolean")
     pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     pairs = cut(pairs.where(same("ta", "tb")).select("a", "b"))
     # back to records: pairs of two classes, and of one class with itself
-    both = pairs.unionByName(classes.where("members > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b")))
+    both = pairs.unionByName(copies.select(F.col("rep").alias("a"), F.col("rep").alias("b")))
+    members = members.join(texts.where("counts").select("id"), "id", "left_semi")
     mine = members.withColumn("slot", slot_of(window))
     left = keyed_join(mine.select(F.col("rep").alias("a"), F.col("id").alias("ia"), F.col("at").alias("ta"), F.col("slot").alias("sa")), both, ["a"])
     left = left.withColumn("slot", F.explode(F.array(F.col("sa") - 1, F.col("sa"), F.col("sa") + 1)))
@@ -250,9 +272,11 @@ def same_events(events: DataFrame, sources: DataFrame, threshold: float = 0.7, w
     model = residue.learn(fields)
     e = times.with_utc(events.where("description IS NOT NULL AND trim(description) != ''"), sources, ("start_datetime",), ("event_id", "title", "description"))
     e = e.where(F.length("start_datetime_utc") > 10)
-    e = residue.scored_rows(e, model).where("score <= 0").drop("score")
+    # filler is alike everywhere, so much of it would meet; what opens like it is scored at once, all else if it may have a pair
+    e = residue.scored_rows(e, model, tuple(F.when(residue.opens_trusted(x), F.col(x)) for x in ("title", "description"))).where("score <= 0").drop("score")
     at = F.unix_seconds(F.to_timestamp("start_datetime_utc", "yyyy-MM-dd'T'HH:mm:ssX"))
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.col("description")).alias("text")
     records = e.select(F.col("event_id").cast("long").alias("id"), at.alias("at"), text)
-    texts = events.where("description IS NOT NULL").select(F.col("event_id").cast("long").alias("id"), text)
-    return similar_pairs(records, texts, threshold, window).select(F.col("id_a").alias("event_id_a"), F.col("id_b").alias("event_id_b"))
+    texts = events.where("description IS NOT NULL").select(F.col("event_id").cast("long").alias("id"), text, "title", "description")
+    real = lambda t: residue.scored_rows(t, model).withColumn("counts", F.col("score") <= 0)
+    return similar_pairs(records, texts, threshold, window, real).select(F.col("id_a").alias("event_id_a"), F.col("id_b").alias("event_id_b"))

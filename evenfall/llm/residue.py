@@ -80,12 +80,16 @@ def trusted_wording(kinds: dict[str, str] = KINDS) -> re.Pattern:
     return re.compile(r"\W*(?:" + "|".join(kinds.values()) + r")\b", re.IGNORECASE)
 
 
+def opens_trusted(name: str, kinds: dict[str, str] = KINDS):
+    """Whether that column opens with the same; for the JVM."""
+    return F.col(name).rlike(rf"(?iU:^[^\p{{L}}\p{{N}}_]*(?:{'|'.join(kinds.values())})\b)")
+
+
 def trusted_text(kinds: dict[str, str] = KINDS):
     """Whether the column text opens with the same, is trusted whole, or holds trusted spans; for the JVM."""
     text = F.col("text")
     syntax = text.rlike(rf"(?=[{{<$#%*@\[_&])(?:{SYNTAX})")
-    wording = text.rlike(rf"(?iU:^[^\p{{L}}\p{{N}}_]*(?:{'|'.join(kinds.values())})\b)")
-    return syntax | ((F.length(text) < 20) & F.trim(text).rlike(rf"^(?:{WHOLE})$")) | wording
+    return syntax | ((F.length(text) < 20) & F.trim(text).rlike(rf"^(?:{WHOLE})$")) | opens_trusted("text", kinds)
 
 
 def span_features(span: str) -> tuple[str, ...]:
@@ -320,8 +324,8 @@ def scored(fields: DataFrame, model: Model) -> DataFrame:
     return fields.withColumn("score", F.pandas_udf(score, "double")("text", "field_name"))
 
 
-def scored_rows(events: DataFrame, model: Model) -> DataFrame:
-    """Adds score, the greater one of a row's title and description; both in one go."""
+def scored_rows(events: DataFrame, model: Model, names: tuple = ("title", "description")) -> DataFrame:
+    """Adds score, the greater one of a row's title and description; both in one go. names: the two columns; where one is null, the other counts."""
     sent = events.sparkSession.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
 
@@ -329,7 +333,7 @@ def scored_rows(events: DataFrame, model: Model) -> DataFrame:
         s = _scorer(key, sent).score
         return pd.Series([max(s(t, True) if t else -50.0, s(d, False) if d else -50.0) for t, d in zip(title, description)], dtype=float)
 
-    return events.withColumn("score", F.pandas_udf(score, "double")("title", "description"))
+    return events.withColumn("score", F.pandas_udf(score, "double")(*names))
 
 
 def fields_of(events: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("evenfall.llm.addresses")
 
@@ -202,6 +203,34 @@ def test_whole_texts_are_scored():
     assert s.score(long, False) <= 0 < s.score(long + "\nSongs by {{artist}}.", False)
 
 
+def test_only_records_that_may_have_a_pair_are_asked_whether_they_count(spark):
+    r = random.Random(9)
+    rows = [(i, 1_000, " ".join(f"x{r.randrange(5_000)}" for _ in range(20))) for i in range(200)]
+    # copies, of which the first doesn't count, and a text that is like them; and copies hours apart
+    rows += [(200, 900, "one two three four five"), (201, 1_100, "two one three four five"), (202, 1_000, "five four three two one"), (203, 1_000, "one two three four five six"), (204, 90_000, "seven eight"), (205, 10_000, "eight seven")]
+    d = spark.createDataFrame(rows, "id long, at long, text string")
+    asked = []
+
+    def counts(t):
+        asked.extend(x["id"] for x in t.select("id").collect())
+        return t.withColumn("counts", F.when(F.col("id") != 200, F.col("id") > 0))
+
+    got = {tuple(x) for x in neardup.similar_pairs(d, d.select("id", "text"), 0.7, 3600, counts).collect()}
+    assert got == {(201, 202), (201, 203), (202, 203)}
+    assert sorted(asked) == [200, 201, 202, 203, 204, 205]
+
+
+def test_filler_does_not_meet(spark, monkeypatch):
+    rows = [(1, "Lanterns", "Lorem ipsum dolor sit."), (2, "{{title}} of the harbor", "A talk on maps."), (3, "The harbor", "Quilts that talk about lorem ipsum."), (4, "The harbor", "A talk on maps."), (5, "Lorem ipsum dolor", "Maps."), (6, None, "A talk on maps.")]
+    e = spark.createDataFrame([(*x, "2024-05-01T10:00:00Z", None, "s", None) for x in rows], "event_id long, title string, description string, start_datetime string, timezone string, source_id string, crawled_at timestamp")
+    sources = spark.createDataFrame([("s", ("UTC",))], "source_id string, context struct<timezone: string>")
+    monkeypatch.setattr(residue, "learn", lambda fields: ({"lorem": 4.0, "ipsum": 4.0, "quilts": -9.0, "S:{{a}}": 9.0}, -5.0))
+    met, pairs = [], neardup.similar_pairs
+    monkeypatch.setattr(neardup, "similar_pairs", lambda records, *more: met.extend(x["id"] for x in records.collect()) or pairs(records, *more))
+    assert {tuple(x) for x in neardup.same_events(e, sources, 0.5).collect()} == {(4, 6)}
+    assert sorted(met) == [2, 3, 4, 6]
+
+
 def test_near_duplicates_as_brute_force(spark):
     r = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
